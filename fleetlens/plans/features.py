@@ -94,35 +94,36 @@ def sensor_and_error_features(
     return _finish_rolled(rolled, spec).select(*TELEMETRY_FEATURES, *ERROR_COUNTS)
 
 
-def replacement_days(
-    maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT
-) -> DataFrame:
-    """Days since the last replacement of each component, one row per machine and time.
+def last_replacements(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+    """Time of the last replacement of each component, one row per machine and time.
 
     ``copies`` says how many rows the machine and time stands for: one per telemetry reading, or
     one for a replacement without telemetry. In flat mode a machine without an earlier replacement
     takes over the last one of the machines before it.
     """
     order = machine_order(telemetry, maint)
+    latest = [
+        F.max(F.when(F.col("comp") == c, F.struct("machineID", "datetime"))).alias(c) for c in COMPONENTS
+    ]
     readings = telemetry.groupBy(*KEYS).agg(F.count("*").alias("copies"))
-    replaced = maint.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("comp") == c, F.struct("machineID", "datetime"))).alias(c) for c in COMPONENTS]
-    )
-    spine = readings.join(replaced, list(KEYS), "full_outer").na.fill(1, ["copies"])
+    spine = readings.join(maint.groupBy(*KEYS).agg(*latest), list(KEYS), "full_outer").na.fill(1, ["copies"])
+    per_chunk = order.with_chunk(maint, spec.chunk_rows).groupBy("_chunk").agg(*latest)
     placed = order.with_chunk(spine, spec.chunk_rows)
-    latest = order.with_chunk(maint, spec.chunk_rows).groupBy("_chunk").agg(
-        *[F.max(F.when(F.col("comp") == c, F.struct("machineID", "datetime"))).alias(c) for c in COMPONENTS]
-    )
-    filled = forward_fill(placed, COMPONENTS, KEYS, latest, order.chunks(spec.chunk_rows))
-    kept = filled.filter(F.col("datetime") > F.lit(spec.start_after).cast("timestamp"))
+    filled = forward_fill(placed, COMPONENTS, KEYS, per_chunk, order.chunks(spec.chunk_rows))
+
+    def time(c: str):
+        same = F.lit(True) if spec.mode == FLAT else F.col(f"{c}.machineID") == F.col("machineID")
+        return F.when(same, F.col(f"{c}.datetime")).alias(c)
+
+    return filled.select(*KEYS, *[time(c) for c in COMPONENTS], "copies")
 
-    def days(c: str):
-        value = days_between(F.col("datetime"), F.col(f"{c}.datetime"))
-        if spec.mode == FLAT:
-            return value.alias(c)
-        return F.when(F.col(f"{c}.machineID") == F.col("machineID"), value).alias(c)
 
-    return kept.select("datetime", "machineID", *[days(c) for c in COMPONENTS], "copies")
+def replacement_days(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+    """Days since the last replacement, after ``start_after``; earlier rows only seed the fill."""
+    replaced = last_replacements(maint, telemetry, spec)
+    kept = replaced.filter(F.col("datetime") > F.lit(spec.start_after).cast("timestamp"))
+    days = [days_between(F.col("datetime"), F.col(c)).alias(c) for c in COMPONENTS]
+    return kept.select("datetime", "machineID", *days, "copies")
 
 
 def maintenance_features(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
