@@ -1 +1,207 @@
-"""..."""
+"""Sources, sinks and the feature table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetlens import adapters
+from fleetlens.catalog.features import labeled
+from fleetlens.catalog.registry import query
+from fleetlens.catalog.sql import compose, rnd, rnds
+from fleetlens.functions.scalar import json_request
+from fleetlens.plans import feature_table, features as plans
+from fleetlens.plans.monitor import (
+    PROFILE_SCHEMA,
+    baseline_statistics,
+    statistics_report,
+)
+from fleetlens.plans.splits import model_matrix
+from fleetlens.schemas import CAPTURE, MEASURES, MODEL_MATRIX, TELEMETRY
+from fleetlens.session import new_path
+from fleetlens.sources import capture, files
+
+SAMPLE_PERCENT = 20
+FEATURE_TIMES = ("2024-01-01 00:00:00", "2024-01-02 12:30:00")
+
+
+def capture_records(spark, sf_dir):
+    """Capture records from events: the request holds the value and a property, one record or two;
+    sign-ups carry no inference id."""
+    events = adapters.read_table(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("double")
+    )
+    one = F.array(F.col("value"), F.col("k"))
+    request = F.when(F.col("event_type") == "view", F.to_json(F.array(one, F.array(F.col("k"), F.col("value")))))
+    request = request.otherwise(json_request(["value", "k"]))
+    key = F.col("event_id").cast("string")
+    inference = F.when(F.col("event_type") != "signup", F.concat(F.lit("inf-"), key))
+    response = F.to_json(F.array("event_type"))
+    return events.select(*capture.capture_record(key, inference, F.col("ts"), request, response), "event_id")
+
+
+CAPTURED = """captured AS (SELECT event_id, event_type, ts,
+  CASE WHEN event_type <> 'signup' THEN 'inf-' || CAST(event_id AS VARCHAR) END AS inferenceId,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS inferenceTime, strftime(ts, '%Y-%m-%d-%H') AS hour,
+  value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events),
+requests AS (SELECT *, CAST(CASE WHEN event_type = 'view' THEN to_json([[value, k], [k, value]])
+  ELSE to_json([[value, k]]) END AS VARCHAR) AS request, CAST(to_json([event_type]) AS VARCHAR) AS response FROM captured)"""
+
+
+@query("src_csv_roundtrip", compose(
+    f"SELECT datetime, machineID, {rnds(MEASURES)} FROM telemetry", "telemetry"))
+def src_csv_roundtrip(spark, sf_dir):
+    path = new_path(spark, "telemetry-csv")
+    files.write_csv(adapters.inputs(spark, sf_dir).telemetry, path)
+    return files.read_csv(spark, path, TELEMETRY)
+
+
+_POSITION = {c: f"c{i}" for i, c in enumerate(MODEL_MATRIX)}
+
+
+@query("src_headerless_matrix", compose("SELECT " + ", ".join(
+    rnd(f"CAST({c} AS DOUBLE)", p) for c, p in _POSITION.items()) + " FROM matrix_keyed", "matrix_keyed"))
+def src_headerless_matrix(spark, sf_dir):
+    path = new_path(spark, "matrix-csv")
+    files.write_csv(model_matrix(labeled(spark, sf_dir, "keyed")).drop("failure"), path, header=False)
+    return files.read_matrix(spark, path)
+
+
+@query("src_capture_json", f"""WITH {CAPTURED}
+SELECT inferenceId, inferenceTime, hour, request, response FROM requests WHERE inferenceId IS NOT NULL""")
+def src_capture_json(spark, sf_dir):
+    path = new_path(spark, "capture")
+    capture.write_capture(capture_records(spark, sf_dir).drop("event_id"), path)
+    return capture.read_capture(spark, path).select(
+        "eventMetadata.inferenceId", "eventMetadata.inferenceTime", "hour",
+        F.col("captureData.endpointInput.data").alias("request"),
+        F.col("captureData.endpointOutput.data").alias("response"),
+    )
+
+
+@query("src_capture_newest", f"""WITH {CAPTURED}
+SELECT inferenceId, hour, request FROM requests
+WHERE inferenceId IS NOT NULL AND hour = (SELECT max(hour) FROM requests)""")
+def src_capture_newest(spark, sf_dir):
+    path = new_path(spark, "capture")
+    capture.write_capture(capture_records(spark, sf_dir).drop("event_id"), path)
+    return capture.read_capture(spark, path, newest_hour_only=True).select(
+        "eventMetadata.inferenceId", "hour", F.col("captureData.endpointInput.data").alias("request"))
+
+
+@query("capture_sample", f"""WITH {CAPTURED}
+SELECT CAST(event_id AS VARCHAR) AS eventId, hour, request, response FROM requests
+WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < {SAMPLE_PERCENT}""")
+def capture_sample(spark, sf_dir):
+    path = new_path(spark, "capture")
+    sampled = capture.sample_capture(capture_records(spark, sf_dir), "event_id", SAMPLE_PERCENT).drop("event_id")
+    capture.write_capture(sampled, path)
+    written = spark.read.schema(T.StructType([*CAPTURE.fields, T.StructField("hour", T.StringType())])).json(path)
+    return written.select(
+        "eventMetadata.eventId", "hour", F.col("captureData.endpointInput.data").alias("request"),
+        F.col("captureData.endpointOutput.data").alias("response"),
+    )
+
+
+@query("report_flatten", "\nUNION ALL ".join(
+    f"""SELECT '{m}' AS feature, 'Fractional' AS inferred_type, count(c) AS "numerical_statistics.present",
+  count(*) - count(c) AS "numerical_statistics.missing", {rnd('avg(c)', '"numerical_statistics.mean"')},
+  {rnd('min(c)', '"numerical_statistics.low"')}, {rnd('max(c)', '"numerical_statistics.high"')} FROM (SELECT {e} AS c FROM lineitem)"""
+    for m, e in zip(MEASURES, ("l_quantity", "l_extendedprice", "l_discount * 100", "l_tax * 100"))))
+def report_flatten(spark, sf_dir):
+    statistics = baseline_statistics(adapters.inputs(spark, sf_dir).telemetry, MEASURES)
+    return capture.flatten_report(statistics_report(statistics), "body", "features", PROFILE_SCHEMA)
+
+
+@query("stage_outputs", compose("""SELECT 'telemetry' AS stage, count(*) AS rows FROM tele_flat
+UNION ALL SELECT 'errors', count(*) FROM err_flat UNION ALL SELECT 'maint', count(*) FROM maint_flat
+UNION ALL SELECT 'failures', count(*) FROM failures UNION ALL SELECT 'machines', count(*) FROM machines
+UNION ALL SELECT 'preprocessed', count(*) FROM labeled_flat""", "tele_flat", "err_flat", "maint_flat", "labeled_flat"))
+def stage_outputs(spark, sf_dir):
+    """The six stage tables, each written once; the last is joined from the written ones."""
+    data, spec, out = adapters.inputs(spark, sf_dir), adapters.spec(), new_path(spark, "stages")
+    paths = files.write_stages({
+        "telemetry": plans.telemetry_features(data.telemetry, spec),
+        "errors": plans.error_features(data.errors, data.telemetry, spec),
+        "maint": plans.maintenance_features(data.maint, data.telemetry, spec),
+        "failures": plans.failure_features(data.failures),
+        "machines": data.machines,
+    }, out)
+    stages = {name: spark.read.parquet(path) for name, path in paths.items()}
+    final = plans.label_construct(stages["telemetry"], stages["errors"], stages["maint"], stages["machines"], stages["failures"], spec)
+    paths |= files.write_stages({"preprocessed": final}, out)
+    rows = [spark.read.parquet(path).groupBy(F.lit(name).alias("stage")).agg(F.count("*").alias("rows"))
+            for name, path in paths.items()]
+    counts = rows[0]
+    for more in rows[1:]:
+        counts = counts.unionByName(more)
+    return counts
+
+
+def _history(spark, sf_dir):
+    """Machine attributes appended at two times; later, half of the machines are a year older."""
+    path = new_path(spark, "machine-features")
+    machines = adapters.inputs(spark, sf_dir).machines
+    definitions = feature_table.feature_definitions(machines)
+    feature_table.append_offline(machines, path, FEATURE_TIMES[0], definitions)
+    older = machines.withColumn("age", F.col("age") + F.col("machineID") % 2)
+    feature_table.append_offline(older, path, FEATURE_TIMES[1], definitions)
+    return feature_table.read_offline(spark, path)
+
+
+_HISTORY = f"""history AS (
+  SELECT machineID, model, age, epoch_us(TIMESTAMP '{FEATURE_TIMES[0]}') / 1e6 AS event_time,
+    DATE '{FEATURE_TIMES[0][:10]}' AS event_date FROM machines
+  UNION ALL SELECT machineID, model, age + machineID % 2, epoch_us(TIMESTAMP '{FEATURE_TIMES[1]}') / 1e6,
+    DATE '{FEATURE_TIMES[1][:10]}' FROM machines)"""
+
+
+def _with_history(body: str) -> str:
+    return compose(f", {_HISTORY} {body}", "machines")
+
+
+@query("fs_definitions", compose("""SELECT name, type FROM (SELECT DISTINCT unnest(['datetime', 'machineID',
+'comp1', 'comp2', 'comp3', 'comp4']) AS name,
+unnest(['String', 'Integral', 'Fractional', 'Fractional', 'Fractional', 'Fractional']) AS type FROM maint)""", "maint"))
+def fs_definitions(spark, sf_dir):
+    """Names and types of the maintenance features, as found in every written record."""
+    data, path = adapters.inputs(spark, sf_dir), new_path(spark, "maint-features")
+    days = plans.maintenance_features(data.maint, data.telemetry, adapters.spec())
+    days.write.parquet(path)
+    written = spark.read.parquet(path)
+    names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in feature_table.feature_definitions(written)])
+    return written.select(F.inline(names)).distinct()
+
+
+@query("fs_offline_append", _with_history(
+    f"SELECT event_date, count(*) AS records, {rnd('min(event_time)', 'event_time')} FROM history GROUP BY event_date"))
+def fs_offline_append(spark, sf_dir):
+    return _history(spark, sf_dir).groupBy("event_date").agg(F.count("*").alias("records"), F.min("event_time").alias("event_time"))
+
+
+@query("fs_online_latest", _with_history(f"""SELECT machineID, model, age, {rnd('event_time')}, event_date FROM
+(SELECT *, row_number() OVER (PARTITION BY machineID ORDER BY event_time DESC) AS n FROM history) WHERE n = 1"""))
+def fs_online_latest(spark, sf_dir):
+    return feature_table.latest_records(_history(spark, sf_dir), "machineID", "event_time")
+
+
+@query("fs_online_latest_events", """SELECT user_id, ts, event_id, event_type, value FROM
+(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
+def fs_online_latest_events(spark, sf_dir):
+    events = adapters.read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return feature_table.latest_records(events, "user_id", "ts", "event_id")
+
+
+@query("fs_distinct", _with_history("SELECT DISTINCT machineID, model, age FROM history"))
+def fs_distinct(spark, sf_dir):
+    return feature_table.distinct_features(_history(spark, sf_dir), "machineID", "model", "age")
+
+
+@query("fs_sql", _with_history("SELECT model, count(DISTINCT machineID) AS machines, max(age) AS oldest FROM history GROUP BY model"))
+def fs_sql(spark, sf_dir):
+    """The history queried as text."""
+    history = _history(spark, sf_dir)
+    return spark.sql(
+        "SELECT model, count(DISTINCT machineID) AS machines, max(age) AS oldest FROM {history} GROUP BY model",
+        history=history,
+    )
