@@ -1 +1,211 @@
-"""..."""
+"""Profiles, drift, bias, captured records and streams of them."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetlens import adapters
+from fleetlens.catalog.registry import query
+from fleetlens.catalog.sql import cols, rnd
+from fleetlens.catalog.tables import CAPTURED, SAMPLE_PERCENT, capture_records
+from fleetlens.functions.records import apply_handler, apply_preprocessor, positional_features
+from fleetlens.plans import monitor
+from fleetlens.plans.bias import pretraining_bias
+from fleetlens.plans.monitor import BUCKET_COLUMNS, BUCKETS
+from fleetlens.schemas import CAPTURE
+from fleetlens.session import new_path
+from fleetlens.sources import capture
+from fleetlens.streaming import jobs
+
+NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+EVENT_NUMBERS = ("value", "k")
+CUT = "1998-07-01 00:00:00"
+
+
+def _profile_sql(source: str, bounds: str, columns, by: str = "") -> str:
+    """Long rows of ``source`` profiled in SQL over the bounds of ``bounds``, a (feature, lo, hi) table."""
+    long = " UNION ALL ".join(f"SELECT {by}'{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {source}" for c in columns)
+    buckets = ", ".join(f"count(*) FILTER (WHERE b = {i}) AS {name}" for i, name in enumerate(BUCKET_COLUMNS))
+    return f"""SELECT {by}feature, count(value) AS present, count(*) - count(value) AS missing, avg(value) AS mean,
+  sum(value) AS total, stddev_samp(value) AS sd, min(value) AS low, max(value) AS high, {buckets} FROM
+  (SELECT *, CASE WHEN value IS NOT NULL THEN least({BUCKETS - 1}, greatest(0,
+     CASE WHEN hi > lo THEN floor((value - lo) * {BUCKETS} / (hi - lo)) ELSE 0 END)) END AS b
+   FROM ({long}) JOIN {bounds} USING (feature)) GROUP BY {by}feature"""
+
+
+def _bounds_sql(source: str, columns) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM {source}" for c in columns)
+
+
+_STATS = ", ".join(rnd(c) for c in ("mean", "sd", "low", "high")) + ", " + rnd("total", digits=2)
+
+
+@query("baseline_statistics", f"""WITH bounds AS ({_bounds_sql('lineitem', NUMBERS)}),
+stats AS ({_profile_sql('lineitem', 'bounds', NUMBERS)})
+SELECT feature, 'Fractional' AS inferred_type, present, missing, {_STATS}, {cols(BUCKET_COLUMNS)} FROM stats""")
+def baseline_statistics(spark, sf_dir):
+    stats = monitor.baseline_statistics(adapters.read_table(spark, sf_dir, "lineitem"), NUMBERS)
+    return stats.withColumn("total", F.round(F.col("total"), 2))
+
+
+@query("baseline_constraints", "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, '{t}' AS inferred_type, {rnd(f'count({c}) / count(*)', 'completeness')},
+min({c}) >= 0 AS non_negative FROM {src}""" for c, t, src in (
+        ("c_acctbal", "Fractional", "customer"), ("c_nationkey", "Integral", "customer"))))
+def baseline_constraints(spark, sf_dir):
+    customers = adapters.read_table(spark, sf_dir, "customer")
+    return monitor.baseline_constraints(monitor.baseline_statistics(customers, ("c_acctbal", "c_nationkey")))
+
+
+_DISTANCE = "greatest(" + ", ".join(
+    f"abs(({' + '.join('p.' + b for b in BUCKET_COLUMNS[: i + 1])}) / p.present - ({' + '.join('q.' + b for b in BUCKET_COLUMNS[: i + 1])}) / q.present)"
+    for i in range(BUCKETS)) + ")"
+
+
+def _violations_sql(batch: str, baseline: str) -> str:
+    completeness = "{a}.present / ({a}.present + {a}.missing)"
+    mine, base = completeness.format(a="p"), completeness.format(a="q")
+    checks = (
+        (f"{mine} < {base}", "completeness_check", mine, base, "share of present values is below the baseline"),
+        ("p.low < 0 AND q.low >= 0", "non_negative_check", "p.low", "0", "negative values where the baseline has none"),
+        (f"{_DISTANCE} > 0.1", "baseline_drift_check", _DISTANCE, "0.1", "distance to the baseline distribution is above the limit"),
+    )
+    return " UNION ALL ".join(f"""SELECT p.feature AS feature, '{name}' AS "check", {rnd(f'CAST({seen} AS DOUBLE)', 'observed')},
+  {rnd(f'CAST({allowed} AS DOUBLE)', 'allowed')}, '{text}' AS description FROM {batch} p JOIN {baseline} q ON p.feature = q.feature
+  WHERE {failed}""" for failed, name, seen, allowed, text in checks)
+
+
+def _drift_sql(batch_columns: str) -> str:
+    return f"""WITH before AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{CUT}'),
+after AS (SELECT {batch_columns} FROM lineitem WHERE l_shipdate >= TIMESTAMP '{CUT}'),
+bounds AS ({_bounds_sql('before', NUMBERS)}),
+base AS ({_profile_sql('before', 'bounds', NUMBERS)}), batch AS ({_profile_sql('after', 'bounds', NUMBERS)})
+{_violations_sql('batch', 'base')}"""
+
+
+def _before_after(spark, sf_dir):
+    lines = adapters.read_table(spark, sf_dir, "lineitem")
+    cut = F.lit(CUT).cast("timestamp")
+    return lines.filter(F.col("l_shipdate") < cut), lines.filter(F.col("l_shipdate") >= cut)
+
+
+@query("drift_violations", _drift_sql("""l_quantity * 1.5 AS l_quantity, l_extendedprice,
+CASE WHEN l_returnflag <> 'R' THEN l_discount END AS l_discount, l_tax - 0.01 AS l_tax"""))
+def drift_violations(spark, sf_dir):
+    """Later lines with a shift, missing values and negative values put in."""
+    before, after = _before_after(spark, sf_dir)
+    changed = after.select(
+        (F.col("l_quantity") * 1.5).alias("l_quantity"), "l_extendedprice",
+        F.when(F.col("l_returnflag") != "R", F.col("l_discount")).alias("l_discount"),
+        (F.col("l_tax") - 0.01).alias("l_tax"),
+    )
+    return monitor.drift_violations(before, changed, NUMBERS)
+
+
+@query("drift_none", _drift_sql("*"))
+def drift_none(spark, sf_dir):
+    """Later lines as they are: nothing is reported."""
+    return monitor.drift_violations(*_before_after(spark, sf_dir), NUMBERS)
+
+
+def _numbered_events(spark, sf_dir):
+    events = adapters.read_table(spark, sf_dir, "events")
+    return events.select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+
+
+_EVENTS = "numbered AS (SELECT date_trunc('hour', ts) AS hour, value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events)"
+_HOURLY = f"""WITH {_EVENTS}, bounds AS ({_bounds_sql('numbered', EVENT_NUMBERS)}),
+hours AS ({_profile_sql('numbered', 'bounds', EVENT_NUMBERS, by='hour, ')})"""
+
+
+@query("drift_hourly", f"""{_HOURLY}, base AS ({_profile_sql('numbered', 'bounds', EVENT_NUMBERS)})
+SELECT p.hour, p.feature, p.present, {rnd(_DISTANCE, 'distance')} FROM hours p JOIN base q ON p.feature = q.feature""")
+def drift_hourly(spark, sf_dir):
+    events = _numbered_events(spark, sf_dir)
+    bounds = monitor.value_bounds(events, EVENT_NUMBERS)
+    baseline = monitor.baseline_statistics(events, EVENT_NUMBERS, bounds)
+    return monitor.hourly_drift(events, baseline, EVENT_NUMBERS, bounds)
+
+
+_HOUR_COLUMNS = ("present", "missing", *BUCKET_COLUMNS)
+
+
+@query("stream_hourly_stats", f"""{_HOURLY} SELECT hour, feature, {cols(_HOUR_COLUMNS)},
+{', '.join(rnd(c) for c in ('mean', 'total', 'sd', 'low', 'high'))} FROM hours""")
+def stream_hourly_stats(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    bounds = monitor.value_bounds(_numbered_events(spark, sf_dir), EVENT_NUMBERS)
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet").select(
+        F.col("ts").cast("timestamp").alias("ts"), "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    out = new_path(spark, "hourly")
+    jobs.hourly_stream(events, EVENT_NUMBERS, bounds, out, new_path(spark, "hourly-checkpoint")).awaitTermination()
+    return jobs.read_hourly(spark, out)
+
+
+_INNER = """FROM (SELECT inferenceId, response, unnest(range(len(r))) AS record, r FROM
+(SELECT inferenceId, response, CAST(request AS JSON)::DOUBLE[][] AS r FROM requests WHERE inferenceId IS NOT NULL))"""
+_FEATURE_COLUMNS = ", ".join(rnd(f"r[record + 1][{i + 1}]", f"feature{i:010d}") for i in range(2))
+
+
+@query("capture_features", f"""WITH {CAPTURED}
+SELECT inferenceId, CAST(record AS INTEGER) AS record, {_FEATURE_COLUMNS}, response AS prediction0 {_INNER}""")
+def capture_features(spark, sf_dir):
+    records = capture_records(spark, sf_dir).filter(F.col("eventMetadata.inferenceId").isNotNull())
+    return capture.capture_features(records, 2)
+
+
+@query("udf_preprocessor", f"WITH {CAPTURED} SELECT inferenceId, {_FEATURE_COLUMNS} {_INNER}")
+def udf_preprocessor(spark, sf_dir):
+    """A user's preprocessor in Python, after one written as a DataFrame transformation."""
+    kept = apply_preprocessor(
+        capture_records(spark, sf_dir), lambda df: df.filter(F.col("eventMetadata.inferenceId").isNotNull()))
+    texts = kept.select(
+        "eventMetadata.inferenceId", F.col("captureData.endpointInput.data").alias("request"),
+        F.col("captureData.endpointOutput.data").alias("response"))
+    schema = T.StructType([T.StructField("inferenceId", T.StringType()),
+                           *[T.StructField(f"feature{i:010d}", T.DoubleType()) for i in range(2)]])
+    return apply_handler(texts, positional_features, schema)
+
+
+@query("stream_capture", f"""WITH {CAPTURED}
+SELECT CAST(event_id AS VARCHAR) AS eventId, hour, request, response FROM requests
+WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < {SAMPLE_PERCENT}""")
+def stream_capture(spark, sf_dir):
+    incoming, out = new_path(spark, "scored"), new_path(spark, "captured")
+    records = capture_records(spark, sf_dir)
+    records.write.parquet(incoming)
+    stream = spark.readStream.schema(records.schema).parquet(incoming)
+    jobs.capture_stream(stream, "event_id", SAMPLE_PERCENT, out, new_path(spark, "capture-checkpoint")).awaitTermination()
+    schema = T.StructType([*CAPTURE.fields, T.StructField("hour", T.StringType())])
+    return spark.read.schema(schema).json(out).select(
+        "eventMetadata.eventId", "hour", F.col("captureData.endpointInput.data").alias("request"),
+        F.col("captureData.endpointOutput.data").alias("response"))
+
+
+_SHARES = """counted AS (SELECT quality AS label, source AS grp, count(*) FILTER (WHERE lang <> 'en') AS a,
+  count(*) FILTER (WHERE lang = 'en') AS d FROM labels JOIN documents USING (doc_id) GROUP BY quality, source),
+t AS (SELECT sum(a) AS na, sum(d) AS nd, sum(a) FILTER (WHERE label = 1) AS qa, sum(d) FILTER (WHERE label = 1) AS qd FROM counted),
+p AS (SELECT label, sum(a) / any_value(na) AS pa, sum(d) / any_value(nd) AS pd FROM counted, t GROUP BY label),
+g AS (SELECT grp, sum(a) + sum(d) AS n,
+  coalesce(sum(d) FILTER (WHERE label = 0) / nullif(sum(a + d) FILTER (WHERE label = 0), 0), 0)
+  - coalesce(sum(d) FILTER (WHERE label = 1) / nullif(sum(a + d) FILTER (WHERE label = 1), 0), 0) AS dd FROM counted GROUP BY grp)"""
+_METRICS = {
+    "CI": "(SELECT (na - nd) / (na + nd) FROM t)",
+    "DPL": "(SELECT qa / na - qd / nd FROM t)",
+    "KL": "(SELECT sum(pa * ln(pa / pd)) FROM p)",
+    "JS": "(SELECT (sum(pa * ln(pa / ((pa + pd) / 2))) + sum(pd * ln(pd / ((pa + pd) / 2)))) / 2 FROM p)",
+    "LP": "(SELECT sqrt(sum((pa - pd) * (pa - pd))) FROM p)",
+    "TVD": "(SELECT sum(abs(pa - pd)) / 2 FROM p)",
+    "KS": "(SELECT max(abs(pa - pd)) FROM p)",
+    "CDDL": "(SELECT sum(n * dd) / sum(n) FROM g)",
+}
+
+
+@query("bias_pretraining", f"WITH {_SHARES} " + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, {rnd(f'CAST({e} AS DOUBLE)', 'value')}" for m, e in _METRICS.items()))
+def bias_pretraining(spark, sf_dir):
+    """Quality label by language, conditional on the source."""
+    labels = adapters.read_table(spark, sf_dir, "labels")
+    documents = adapters.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return pretraining_bias(labels.join(documents, "doc_id"), "quality", [1], "lang", facet_values=["en"], group="source")

@@ -19,6 +19,10 @@ def bin_end(index: Column, seconds: int) -> Column:
     return F.timestamp_seconds((index + 1) * seconds)
 
 
+def at_bin_edge(ts: Column, seconds: int) -> Column:
+    return F.pmod(F.unix_micros(ts), F.lit(seconds * 1_000_000)) == 0
+
+
 def first_in_time(value: str, ts: str = "datetime") -> Column:
     """Earliest non-null value; unlike ``first`` it does not depend on row order."""
     return F.min_by(value, F.when(F.col(value).isNotNull(), F.col(ts)))

@@ -43,11 +43,11 @@ def rolled_bins(
         part = ["machineID", "_chunk"]
         size = spec.chunk_bins
     else:
-        first_bin = order.low // spec.bin_seconds
-        bins = order.high // spec.bin_seconds - first_bin + 1
+        first_bin = order.grid_low // spec.bin_seconds
+        bins = order.grid_high // spec.bin_seconds - first_bin + 1
         placed = order.attach(slots, "rank").withColumn("_pos", F.col("rank") * bins + index - first_bin).drop("rank")
         part = ["_chunk"]
-        size = chunk_size(order.machines * bins, spec.chunk_bins)
+        size = chunk_size(order.grid_machines * bins, spec.chunk_bins)
     n = spec.window_rows
     chunked = copy_to_chunks(placed, "_pos", size, n - 1).withColumn("_bin", index).repartition(*part)
 

@@ -59,13 +59,18 @@ def prefix_sums(df: DataFrame, key: str, totals: Sequence[str], rows: int, per_p
 
 @dataclass(frozen=True)
 class MachineOrder:
-    """All machines in order, with what is needed to find a row's place in the whole sequence."""
+    """All machines in order, with what is needed to find a row's place in the whole sequence.
 
-    table: DataFrame  # machineID, rank, rows, rows_before, low, high (seconds)
+    ``grid_machines``, ``grid_low`` and ``grid_high`` (seconds) describe the grid of bins: they
+    count only the first of the frames the order was made from, the telemetry.
+    """
+
+    table: DataFrame  # machineID, rank within the grid, rows, rows_before, low, high (seconds)
     machines: int
     rows: int
-    low: int
-    high: int
+    grid_machines: int
+    grid_low: int
+    grid_high: int
 
     def attach(self, df: DataFrame, *columns: str) -> DataFrame:
         return lookup_join(
@@ -89,23 +94,25 @@ class MachineOrder:
         return self.rows // chunk_size(self.rows, wanted_rows) + 1
 
 
-def machine_order(*frames: DataFrame) -> MachineOrder:
+def machine_order(telemetry: DataFrame, *others: DataFrame) -> MachineOrder:
     """Read (machineID, datetime) of the frames once and order the machines."""
-    keys = [f.select("machineID", "datetime") for f in frames]
-    both = keys[0]
-    for more in keys[1:]:
-        both = both.unionByName(more)
     seconds = F.unix_seconds("datetime")
+    keys = telemetry.select("machineID", "datetime", seconds.alias("grid"))
+    for more in others:
+        keys = keys.unionByName(more.select("machineID", "datetime", F.lit(None).cast("long").alias("grid")))
     extents = materialize(
-        both.groupBy("machineID").agg(
-            F.count("*").alias("rows"), F.min(seconds).alias("low"), F.max(seconds).alias("high")
-        ),
+        keys.groupBy("machineID").agg(
+            F.count("*").alias("rows"), F.min(seconds).alias("low"), F.max(seconds).alias("high"),
+            F.min("grid").alias("grid_low"), F.max("grid").alias("grid_high"),
+        ).withColumn("in_grid", F.col("grid_low").isNotNull().cast("long")),
         "machines",
     )
-    n, rows, low, high = extents.agg(F.count("*"), F.sum("rows"), F.min("low"), F.max("high")).first()
-    ordered = prefix_sums(extents.withColumn("one", F.lit(1)), "machineID", ["one", "rows"], n)
-    table = ordered.withColumnRenamed("one_before", "rank").drop("one")
-    return MachineOrder(table, n, rows or 0, low or 0, high or 0)
+    machines, *totals = extents.agg(
+        F.count("*"), F.sum("rows"), F.sum("in_grid"), F.min("grid_low"), F.max("grid_high")
+    ).first()
+    table = prefix_sums(extents, "machineID", ["in_grid", "rows"], machines)
+    table = table.withColumnRenamed("in_grid_before", "rank").drop("in_grid", "grid_low", "grid_high")
+    return MachineOrder(table, machines, *[t or 0 for t in totals])
 
 
 def copy_to_chunks(df: DataFrame, position: str, size: int, reach: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.config import FLAT, FeatureSpec
 from fleetlens.functions.clean import drop_incomplete, in_domain, label_or_none
 from fleetlens.functions.scalar import days_between
-from fleetlens.operators.binning import dedupe_mean
+from fleetlens.operators.binning import at_bin_edge, dedupe_mean
 from fleetlens.operators.joins import join_spine_errors, lookup_join
 from fleetlens.operators.rolling import place_sd_by_position, rolled_bins
 from fleetlens.operators.sequence import (
@@ -50,8 +50,11 @@ def code_counts(events: DataFrame, column: str, values: Sequence[str]) -> DataFr
     )
 
 
-def _order_for(spec: FeatureSpec, telemetry: DataFrame) -> MachineOrder | None:
-    return machine_order(telemetry) if spec.mode == FLAT else None
+def _order_for(spec: FeatureSpec, telemetry: DataFrame, order: MachineOrder | None) -> MachineOrder | None:
+    """The order of machines is needed in flat mode only."""
+    if spec.mode != FLAT:
+        return None
+    return order or machine_order(telemetry)
 
 
 def _finish_rolled(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -63,7 +66,7 @@ def _finish_rolled(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 def telemetry_features(telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
     """Mean and sd per bin and over the trailing bins, 16 columns per machine and bin."""
-    rolled = rolled_bins(dedupe_mean(telemetry), spec, _order_for(spec, telemetry), MEASURES)
+    rolled = rolled_bins(dedupe_mean(telemetry), spec, _order_for(spec, telemetry, None), MEASURES)
     return _finish_rolled(rolled, spec).select(*TELEMETRY_FEATURES)
 
 
@@ -75,13 +78,13 @@ def error_slots(errors: DataFrame, telemetry: DataFrame) -> DataFrame:
 
 def error_features(errors: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
     """Rolling sums of error counts, 5 columns per machine and bin."""
-    order = _order_for(spec, telemetry)
+    order = _order_for(spec, telemetry, None)
     rolled = rolled_bins(error_slots(errors, telemetry), spec, order, counts=ERROR_CODES)
     return drop_incomplete(rolled, ERROR_COUNTS).select(*ERROR_FEATURES)
 
 
 def sensor_and_error_features(
-    telemetry: DataFrame, errors: DataFrame, spec: FeatureSpec = DEFAULT
+    telemetry: DataFrame, errors: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
 ) -> DataFrame:
     """``telemetry_features`` left-joined with ``error_features``, computed in one pass.
 
@@ -90,18 +93,20 @@ def sensor_and_error_features(
     """
     counts = code_counts(errors, "errorID", ERROR_CODES)
     slots = join_spine_errors(dedupe_mean(telemetry), counts)
-    rolled = rolled_bins(slots, spec, _order_for(spec, telemetry), MEASURES, ERROR_CODES)
+    rolled = rolled_bins(slots, spec, _order_for(spec, telemetry, order), MEASURES, ERROR_CODES)
     return _finish_rolled(rolled, spec).select(*TELEMETRY_FEATURES, *ERROR_COUNTS)
 
 
-def last_replacements(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+def last_replacements(
+    maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
+) -> DataFrame:
     """Time of the last replacement of each component, one row per machine and time.
 
     ``copies`` says how many rows the machine and time stands for: one per telemetry reading, or
     one for a replacement without telemetry. In flat mode a machine without an earlier replacement
     takes over the last one of the machines before it.
     """
-    order = machine_order(telemetry, maint)
+    order = order or machine_order(telemetry, maint)
     latest = [
         F.max(F.when(F.col("comp") == c, F.struct("machineID", "datetime"))).alias(c) for c in COMPONENTS
     ]
@@ -118,9 +123,11 @@ def last_replacements(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec
     return filled.select(*KEYS, *[time(c) for c in COMPONENTS], "copies")
 
 
-def replacement_days(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+def replacement_days(
+    maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
+) -> DataFrame:
     """Days since the last replacement, after ``start_after``; earlier rows only seed the fill."""
-    replaced = last_replacements(maint, telemetry, spec)
+    replaced = last_replacements(maint, telemetry, spec, order)
     kept = replaced.filter(F.col("datetime") > F.lit(spec.start_after).cast("timestamp"))
     days = [days_between(F.col("datetime"), F.col(c)).alias(c) for c in COMPONENTS]
     return kept.select("datetime", "machineID", *days, "copies")
@@ -202,13 +209,14 @@ def labeled_features(
 ) -> DataFrame:
     """The whole way from the five input tables to labelled features.
 
-    Gives the rows of ``label_construct`` with less work: readings and errors share one pass, and
-    of the maintenance rows only those at the end of a bin are joined.
+    Gives the rows of ``label_construct`` with less work: the machines are ordered once, readings
+    and errors share one pass, and the fill of replacement times keeps of the telemetry only the
+    readings at the end of a bin, the only ones that can meet a feature row.
     """
-    sensors = sensor_and_error_features(telemetry, errors, spec)
-    days = replacement_days(maint, telemetry, spec).filter(
-        F.unix_micros("datetime") % (spec.bin_seconds * 1_000_000) == 0
-    )
+    order = machine_order(telemetry, maint)
+    sensors = sensor_and_error_features(telemetry, errors, spec, order)
+    at_end = at_bin_edge(F.col("datetime"), spec.bin_seconds)
+    days = replacement_days(maint, telemetry.filter(at_end), spec, order).filter(at_end)
     joined = sensors.join(days, list(KEYS), "left")
     if spec.mode == FLAT:
         joined = repeat_rows(joined.na.fill(1, ["copies"]), "copies")
