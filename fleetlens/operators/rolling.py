@@ -60,18 +60,25 @@ def rolled_bins(
     )
 
     trailing = W.partitionBy(*part).orderBy("_pos").rangeBetween(-(n - 1), 0)
+    windowed = binned.select(
+        "*",
+        *[F.count(c).over(trailing).alias(f"_n_{c}") for c in (*measures, *counts)],
+        *[F.avg(m).over(trailing).alias(f"_mean_{m}") for m in measures],
+        *[F.stddev_samp(m).over(trailing).alias(f"_sd_{m}") for m in measures],
+        *[F.sum(c).over(trailing).alias(f"_sum_{c}") for c in counts],
+    )
 
-    def if_full(value: Column, column: str) -> Column:
-        return F.when(F.count(column).over(trailing) == n, value.over(trailing))
+    def if_full(value: str, column: str) -> Column:
+        return F.when(F.col(f"_n_{column}") == n, F.col(f"{value}{column}"))
 
-    rolled = binned.select(
-        *part if order is None else ["machineID", "_chunk"], "_pos",
+    rolled = windowed.select(
+        "machineID", "_chunk", "_pos",
         bin_end(F.col("_bin"), spec.bin_seconds).alias("datetime"),
         *[f"{m}mean_3h" for m in measures],
         *[f"{m}sd_3h" for m in measures],
-        *[if_full(F.avg(m), m).alias(f"{m}mean_24h") for m in measures],
-        *[if_full(F.stddev_samp(m), m).alias(f"{m}sd_24h") for m in measures],
-        *[if_full(F.sum(c), c).alias(f"{c}count") for c in counts],
+        *[if_full("_mean_", m).alias(f"{m}mean_24h") for m in measures],
+        *[if_full("_sd_", m).alias(f"{m}sd_24h") for m in measures],
+        *[if_full("_sum_", c).alias(f"{c}count") for c in counts],
     )
     if order is not None and measures:
         # ordinal of each rolling sd within its chunk, for placing the sds by position

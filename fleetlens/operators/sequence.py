@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from fleetlens.operators.joins import BROADCAST_ROWS, lookup_join
@@ -25,12 +26,14 @@ def chunk_size(total: int, wanted: int) -> int:
     return max(wanted, -(-total // MAX_CHUNKS))
 
 
+def _sums_before(totals: Sequence[str], window: WindowSpec) -> list[Column]:
+    before = window.rowsBetween(W.unboundedPreceding, -1)
+    return [F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"{t}_before") for t in totals]
+
+
 def chunk_offsets(sizes: DataFrame, chunk: str, totals: Sequence[str]) -> DataFrame:
     """Sums of ``totals`` over all earlier chunks. ``sizes`` has one row per chunk, a bounded table."""
-    before = W.orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
-    return sizes.select(
-        chunk, *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"{t}_before") for t in totals]
-    )
+    return sizes.select(chunk, *_sums_before(totals, W.orderBy(chunk)))
 
 
 def prefix_sums(df: DataFrame, key: str, totals: Sequence[str], rows: int, per_part: int = BROADCAST_ROWS) -> DataFrame:
@@ -40,21 +43,19 @@ def prefix_sums(df: DataFrame, key: str, totals: Sequence[str], rows: int, per_p
     shifted by the sums of the parts before it.
     """
     parts = -(-max(rows, 1) // per_part)
-    if parts > 1:
-        fractions = [i / parts for i in range(1, parts)]
-        cuts = df.select(F.percentile_approx(key, fractions, 10 * parts)).first()[0]
-        part = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(key)))
-    else:
-        part = F.lit(0)
+    if parts == 1:
+        return df.select(*df.columns, *_sums_before(totals, W.orderBy(key)))
+    fractions = [i / parts for i in range(1, parts)]
+    cuts = df.select(F.percentile_approx(key, fractions, 10 * parts)).first()[0]
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < F.col(key)))
     parted = df.withColumn("_part", part)
-    sizes = parted.groupBy("_part").agg(*[F.sum(t).alias(t) for t in totals])
-    shifted = parted.join(F.broadcast(chunk_offsets(sizes, "_part", totals)), "_part")
-    before = W.partitionBy("_part").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    sums = [
-        (F.col(f"{t}_before") + F.coalesce(F.sum(t).over(before), F.lit(0))).alias(f"{t}_before")
-        for t in totals
-    ]
-    return shifted.select(*df.columns, *sums)
+    sizes = parted.groupBy("_part").agg(*[F.sum(t).alias(f"{t}_earlier") for t in totals])
+    shift = chunk_offsets(sizes, "_part", [f"{t}_earlier" for t in totals])
+    within = parted.select(*parted.columns, *_sums_before(totals, W.partitionBy("_part").orderBy(key)))
+    shifted = within.join(F.broadcast(shift), "_part")
+    return shifted.select(
+        *df.columns, *[(F.col(f"{t}_before") + F.col(f"{t}_earlier_before")).alias(f"{t}_before") for t in totals]
+    )
 
 
 @dataclass(frozen=True)

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fleetlens.session import materialize
-
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Number of rows of each named table."""
@@ -37,49 +35,47 @@ def code_pivot(events: DataFrame, keys: Sequence[str], column: str, values: Sequ
     return events.groupBy(*keys).agg(*[F.count_if(F.col(column) == v).alias(v) for v in values])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], splits: int = 1000) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
     """Interpolated quantiles of each column: (column, probability, value).
 
-    Equal values are counted first. The counted values are cut at approximate quantiles, the sizes
-    of the pieces say which pieces hold the wanted ranks, and only those are put in order. No task
-    sees more than a piece of one column.
+    A sketch with a proven rank error gives a narrow bracket around each quantile. Values inside a
+    bracket are counted one by one; all values between two brackets become a single count. So one
+    pass, reduced before its shuffle, leaves a few parts in ``accuracy`` of the values to put in order.
     """
-    approx = df.agg(*[F.percentile_approx(c, [i / splits for i in range(1, splits)], 10 * splits).alias(c) for c in columns]).first()
-    cuts = F.create_map(*[x for c in columns for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in sorted(set(approx[c] or []))]))])
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    counted = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
-    piece = F.size(F.filter(cuts[F.col("column")], lambda cut: cut < F.col("value")))
-    pieces = materialize(counted.withColumn("piece", piece), "values")
-
-    before = W.partitionBy("column").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
-    sizes = pieces.groupBy("column", "piece").agg(F.sum("n").alias("n"))
-    sized = sizes.select(
-        "column", "piece", F.col("n").alias("piece_n"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
-        F.sum("n").over(W.partitionBy("column")).alias("total"),
-    )
-    wanted = sized.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    rank = F.col("probability") * (F.col("total") - 1)
-    targets = wanted.select("*", F.floor(rank).alias("low"), F.ceil(rank).alias("high"), (rank - F.floor(rank)).alias("share"))
-    end = F.col("n_before") + F.col("piece_n")
-    holds = (F.col("low") < end) & (F.col("high") >= F.col("n_before"))
-    targets = targets.filter(holds).select("column", "piece", "n_before", "probability", "low", "high", "share")
-
-    within = W.partitionBy("column", "piece").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    holding = targets.groupBy("column", "piece").agg(
-        F.first("n_before").alias("n_before"), F.collect_list(F.struct("probability", "low", "high", "share")).alias("targets")
+    reach = 2 / accuracy
+    ends = [min(1.0, max(0.0, p + side)) for p in sorted(probabilities) for side in (-reach, reach)]
+    sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), ends, accuracy).alias(c) for c in columns]).first()
+    brackets = {c: list(zip(sketch[c][::2], sketch[c][1::2])) for c in columns if sketch[c]}
+
+    def per_column(build) -> Column:
+        return F.create_map(*[x for c, b in brackets.items() for x in (F.lit(c), build(b))])[F.col("column")]
+
+    value = F.col("value")
+    lows = per_column(lambda b: F.array(*[F.lit(low) for low, _ in b]))
+    pairs = per_column(lambda b: F.array(*[F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")) for low, high in b]))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in brackets]).unpivot([], list(brackets), "column", "value")
+    placed = long.filter(value.isNotNull()).select(
+        "column",
+        F.size(F.filter(lows, lambda low: low <= value)).alias("region"),
+        F.when(F.exists(pairs, lambda x: (x["low"] <= value) & (value <= x["high"])), value).alias("value"),
     )
-    ordered = pieces.join(F.broadcast(holding), ["column", "piece"]).withColumn(
-        "upto", F.col("n_before") + F.sum("n").over(within)
+    counted = placed.groupBy("column", "region", "value").agg(F.count("*").alias("n"))
+
+    in_order = W.partitionBy("column").orderBy("region", value.asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy("column")
+    summed = counted.select(
+        "column", "value", "n", F.sum("n").over(in_order).alias("upto"), F.sum("n").over(whole).alias("total")
     )
-    hits = ordered.select("column", "value", "upto", "n", F.inline("targets"))
-    covers = lambda place: (F.col(place) < F.col("upto")) & (F.col(place) >= F.col("upto") - F.col("n"))
-    ends = hits.filter(covers("low") | covers("high")).groupBy("column", "probability").agg(
-        F.max(F.when(covers("low"), F.col("value"))).alias("a"),
-        F.max(F.when(covers("high"), F.col("value"))).alias("b"),
-        F.first("share").alias("share"),
+    ranked = summed.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    rank = F.col("probability") * (F.col("total") - 1)
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((place < F.col("upto")) & (place >= F.col("upto") - F.col("n")), value))
+
+    found = ranked.groupBy("column", "probability").agg(
+        at(F.floor(rank)).alias("a"), at(F.ceil(rank)).alias("b"), F.first(rank - F.floor(rank)).alias("share")
     )
-    return ends.select("column", "probability", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
+    return found.select("column", "probability", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -44,8 +44,8 @@ def long_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (
 
 def profile(long: DataFrame, bounds: Bounds, by: Sequence[Column | str] = ()) -> DataFrame:
     """Statistics and histogram per feature, and per value of ``by`` if given."""
-    bucket = _bucket(bounds)
-    return long.groupBy(*by, "feature").agg(
+    placed = long.withColumn("_bucket", _bucket(bounds))
+    return placed.groupBy(*by, "feature").agg(
         F.count("value").alias("present"),
         F.count_if(F.col("value").isNull()).alias("missing"),
         F.avg("value").alias("mean"),
@@ -53,7 +53,7 @@ def profile(long: DataFrame, bounds: Bounds, by: Sequence[Column | str] = ()) ->
         F.stddev_samp("value").alias("sd"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        *[F.count_if(bucket == i).alias(name) for i, name in enumerate(BUCKET_COLUMNS)],
+        *[F.count_if(F.col("_bucket") == i).alias(name) for i, name in enumerate(BUCKET_COLUMNS)],
     )
 
 
