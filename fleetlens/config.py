@@ -23,7 +23,7 @@ class FeatureSpec:
     mode: str = FLAT
     start_after: str = "2015-01-01 00:00:00"
     error_statistic: str = "first"  # "sum" counts every error of a bin, not only its first slot
-    chunk_bins: int = 4096
+    chunk_bins: int = 1024
     chunk_rows: int = 65536
 
     def __post_init__(self) -> None:

@@ -30,7 +30,8 @@ def rolled_bins(
     """Bins of ``slots`` with statistics per bin and over the trailing ``window_rows`` bins.
 
     ``slots`` has one row per machine and time. Measures get mean and sd per bin and rolling mean
-    and sd of the bins' first readings; counts get the rolling sum of the bins' first values.
+    and sd of the bins' first readings; counts, which have no nulls, get the rolling sum of the
+    bins' first values.
     A rolling value needs all its bins, so empty bins break the windows they fall in.
 
     On the grid of all bins a row's position is plain arithmetic. The windows are ranges over that
@@ -62,23 +63,24 @@ def rolled_bins(
     trailing = W.partitionBy(*part).orderBy("_pos").rangeBetween(-(n - 1), 0)
     windowed = binned.select(
         "*",
-        *[F.count(c).over(trailing).alias(f"_n_{c}") for c in (*measures, *counts)],
+        F.count("_bin").over(trailing).alias("_n"),
+        *[F.count(m).over(trailing).alias(f"_n_{m}") for m in measures],
         *[F.avg(m).over(trailing).alias(f"_mean_{m}") for m in measures],
         *[F.stddev_samp(m).over(trailing).alias(f"_sd_{m}") for m in measures],
         *[F.sum(c).over(trailing).alias(f"_sum_{c}") for c in counts],
     )
 
-    def if_full(value: str, column: str) -> Column:
-        return F.when(F.col(f"_n_{column}") == n, F.col(f"{value}{column}"))
+    def if_full(value: str, count: str) -> Column:
+        return F.when(F.col(count) == n, F.col(value))
 
     rolled = windowed.select(
         "machineID", "_chunk", "_pos",
         bin_end(F.col("_bin"), spec.bin_seconds).alias("datetime"),
         *[f"{m}mean_3h" for m in measures],
         *[f"{m}sd_3h" for m in measures],
-        *[if_full("_mean_", m).alias(f"{m}mean_24h") for m in measures],
-        *[if_full("_sd_", m).alias(f"{m}sd_24h") for m in measures],
-        *[if_full("_sum_", c).alias(f"{c}count") for c in counts],
+        *[if_full(f"_mean_{m}", f"_n_{m}").alias(f"{m}mean_24h") for m in measures],
+        *[if_full(f"_sd_{m}", f"_n_{m}").alias(f"{m}sd_24h") for m in measures],
+        *[if_full(f"_sum_{c}", "_n").alias(f"{c}count") for c in counts],
     )
     if order is not None and measures:
         # ordinal of each rolling sd within its chunk, for placing the sds by position

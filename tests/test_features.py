@@ -11,6 +11,7 @@ from fleetlens.config import FeatureSpec
 from fleetlens.operators import joins, sequence
 from fleetlens.plans import features as plans
 from fleetlens.schemas import COMPONENTS, ERRORS, FAILURES, KEYS, LABELED_FEATURES, MACHINES, MAINT, TELEMETRY
+from fleetlens.session import materialize
 
 HOURS3 = 3 * 3600
 MODES = ("flat", "keyed")
@@ -23,7 +24,8 @@ def spec(mode, **changes):
 
 
 def frames(spark, inputs):
-    return [spark.createDataFrame(rows, schema) for rows, schema in zip(inputs, (TELEMETRY, ERRORS, MAINT, FAILURES))]
+    made = [spark.createDataFrame(rows, schema).coalesce(1) for rows, schema in zip(inputs, (TELEMETRY, ERRORS, MAINT, FAILURES))]
+    return [materialize(df, "fixture") for df in made]
 
 
 def rounded(rows):
