@@ -10,7 +10,9 @@ from fleetlens.catalog.features import labeled
 from fleetlens.catalog.registry import query
 from fleetlens.catalog.sql import compose, rnd, rnds
 from fleetlens.functions.scalar import json_request
-from fleetlens.plans import feature_table, features as plans
+from fleetlens.operators.summary import row_counts
+from fleetlens.plans import feature_table
+from fleetlens.plans import features as plans
 from fleetlens.plans.monitor import (
     PROFILE_SCHEMA,
     baseline_statistics,
@@ -130,12 +132,7 @@ def stage_outputs(spark, sf_dir):
     stages = {name: spark.read.parquet(path) for name, path in paths.items()}
     final = plans.label_construct(stages["telemetry"], stages["errors"], stages["maint"], stages["machines"], stages["failures"], spec)
     paths |= files.write_stages({"preprocessed": final}, out)
-    rows = [spark.read.parquet(path).groupBy(F.lit(name).alias("stage")).agg(F.count("*").alias("rows"))
-            for name, path in paths.items()]
-    counts = rows[0]
-    for more in rows[1:]:
-        counts = counts.unionByName(more)
-    return counts
+    return row_counts({name: spark.read.parquet(path) for name, path in paths.items()}).withColumnRenamed("table", "stage")
 
 
 def _history(spark, sf_dir):

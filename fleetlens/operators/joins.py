@@ -43,8 +43,22 @@ def join_spine_errors(spine: DataFrame, error_counts: DataFrame) -> DataFrame:
 
 
 def join_spine_maint(spine: DataFrame, comp_counts: DataFrame) -> DataFrame:
-    """Spine rows and replacement rows, matched where both exist, zero where there is none."""
-    return spine.join(comp_counts, list(KEYS), "full_outer").na.fill(0, list(COMPONENTS))
+    """Spine rows and replacement rows, matched where both exist, zero where there is none.
+
+    Repeated spine rows are counted before the join and written out after it, so a time with very
+    many readings is one row in the shuffle.
+    """
+    counted = spine.groupBy(*KEYS).agg(F.count("*").alias("_copies"))
+    joined = counted.join(comp_counts, list(KEYS), "full_outer")
+    return repeat_rows(joined.na.fill(0, list(COMPONENTS)).na.fill(1, ["_copies"]), "_copies")
+
+
+def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
+    """Each row ``times`` times. Large counts are expanded in blocks, so no long array is built."""
+    starts = F.sequence(F.lit(0).cast("long"), (F.col(times) - 1).cast("long"), F.lit(block).cast("long"))
+    blocks = df.withColumn("_start", F.explode(starts))
+    length = F.least(F.col(times) - F.col("_start"), F.lit(block)).cast("int")
+    return blocks.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), length))).drop("_start", "_copy", times)
 
 
 def concat_columns(left: DataFrame, right: DataFrame, position: str = "position") -> DataFrame:

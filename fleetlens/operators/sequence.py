@@ -171,10 +171,3 @@ def backward_fill(df: DataFrame, column: str, limit: int, position: str, size: i
     filled = copies.withColumn(column, F.first(column, ignorenulls=True).over(ahead))
     return filled.filter(in_own_chunk(position, size)).drop("_chunk")
 
-
-def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
-    """Each row ``times`` times. Large counts are expanded in blocks, so no long array is built."""
-    starts = F.sequence(F.lit(0).cast("long"), (F.col(times) - 1).cast("long"), F.lit(block).cast("long"))
-    blocks = df.withColumn("_start", F.explode(starts))
-    length = F.least(F.col(times) - F.col("_start"), F.lit(block)).cast("int")
-    return blocks.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), length))).drop("_start", "_copy", times)

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Number of rows of each named table."""
-    counts = [df.select(F.lit(name).alias("table")).groupBy("table").count() for name, df in tables.items()]
+    counts = [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows") for name, df in tables.items()
+    ]
     out = counts[0]
     for more in counts[1:]:
         out = out.unionByName(more)
-    return out.withColumnRenamed("count", "rows")
+    return out
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:

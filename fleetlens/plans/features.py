@@ -11,7 +11,7 @@ from fleetlens.config import FLAT, FeatureSpec
 from fleetlens.functions.clean import drop_incomplete, in_domain, label_or_none
 from fleetlens.functions.scalar import days_between
 from fleetlens.operators.binning import at_bin_edge, dedupe_mean
-from fleetlens.operators.joins import join_spine_errors, lookup_join
+from fleetlens.operators.joins import join_spine_errors, lookup_join, repeat_rows
 from fleetlens.operators.rolling import place_sd_by_position, rolled_bins
 from fleetlens.operators.sequence import (
     MachineOrder,
@@ -19,7 +19,6 @@ from fleetlens.operators.sequence import (
     forward_fill,
     machine_order,
     number_rows,
-    repeat_rows,
 )
 from fleetlens.schemas import (
     COMPONENTS,
@@ -162,9 +161,11 @@ def final_features(
 def label_rows(final: DataFrame, failures: DataFrame, spec: FeatureSpec = DEFAULT, backfill_rows: int = 0) -> DataFrame:
     """Join failures to the rows at exactly their time; several failures give several rows.
 
-    With ``backfill_rows`` a row also takes the first failure among that many rows after it.
+    Equal failures are counted before the join and written out after it. With ``backfill_rows`` a
+    row also takes the first failure among that many rows after it.
     """
-    labeled = final.join(failures, list(KEYS), "left")
+    counted = failures.groupBy(*KEYS, "failure").agg(F.count("*").alias("_times"))
+    labeled = repeat_rows(final.join(counted, list(KEYS), "left").na.fill(1, ["_times"]), "_times")
     if backfill_rows:
         labeled = backfill_labels(labeled, spec, backfill_rows)
     return labeled.withColumn("failure", label_or_none()).select(*LABELED_FEATURES)

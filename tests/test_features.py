@@ -246,7 +246,7 @@ def test_lookup_join_both_ways(spark, limit, monkeypatch):
 
 def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 3)], "k string, copies long")
-    out = Counter(r.k for r in sequence.repeat_rows(df, "copies", block=3).collect())
+    out = Counter(r.k for r in joins.repeat_rows(df, "copies", block=3).collect())
     assert out == {"a": 1, "b": 7, "c": 3}
 
 
