@@ -36,13 +36,16 @@ def check_definitions(df: DataFrame, definitions: list[tuple[str, str]]) -> None
         raise ValueError(f"features {found} do not match the definitions {definitions}")
 
 
-def with_event_time(df: DataFrame, event_time: str) -> DataFrame:
-    """Add the ingestion time as epoch seconds and, beside it, as a date to partition by."""
-    ts = F.lit(event_time).cast("timestamp")
+def with_event_time(df: DataFrame, event_time: str | None = None) -> DataFrame:
+    """Add the ingestion time as epoch seconds and, beside it, as a date to partition by.
+
+    Without a given time it is the current one; a given time makes the job repeatable.
+    """
+    ts = F.lit(event_time).cast("timestamp") if event_time else F.current_timestamp()
     return df.withColumn("event_time", F.unix_micros(ts) / 1e6).withColumn("event_date", F.to_date(ts))
 
 
-def append_offline(df: DataFrame, path: str, event_time: str, definitions: list[tuple[str, str]] | None = None) -> None:
+def append_offline(df: DataFrame, path: str, event_time: str | None = None, definitions: list[tuple[str, str]] | None = None) -> None:
     """Append records to the history, one folder per ingestion date."""
     if definitions is not None:
         check_definitions(df, definitions)
