@@ -106,11 +106,13 @@ def last_replacements(
     takes over the last one of the machines before it.
     """
     order = order or machine_order(telemetry, maint)
-    latest = [
-        F.max(F.when(F.col("comp") == c, F.struct("machineID", "datetime"))).alias(c) for c in COMPONENTS
-    ]
+    is_comp = {c: F.col("comp") == c for c in COMPONENTS}
+    place = F.struct("machineID", "datetime")
     readings = telemetry.groupBy(*KEYS).agg(F.count("*").alias("copies"))
-    spine = readings.join(maint.groupBy(*KEYS).agg(*latest), list(KEYS), "full_outer").na.fill(1, ["copies"])
+    replaced = maint.groupBy(*KEYS).agg(*[F.bool_or(is_comp[c]).alias(c) for c in COMPONENTS])
+    joined = readings.join(replaced, list(KEYS), "full_outer").na.fill(1, ["copies"])
+    spine = joined.select(*KEYS, *[F.when(F.col(c), place).alias(c) for c in COMPONENTS], "copies")
+    latest = [F.max(F.when(is_comp[c], place)).alias(c) for c in COMPONENTS]
     per_chunk = order.with_chunk(maint, spec.chunk_rows).groupBy("_chunk").agg(*latest)
     placed = order.with_chunk(spine, spec.chunk_rows)
     filled = forward_fill(placed, COMPONENTS, KEYS, per_chunk, order.chunks(spec.chunk_rows))
