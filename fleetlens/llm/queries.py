@@ -3,6 +3,16 @@
 from __future__ import annotations
 
 from fleetlens.llm import op1_substring_dedup as op1
+from fleetlens.llm import op5_decontaminate as op5
+from fleetlens.llm import op7_minhash_dedup as op7
 
-QUERIES = {"op1_substring_dedup": op1.op1_substring_dedup}
-ORACLES = {"op1_substring_dedup": op1.SQL}
+QUERIES = {
+    "op1_substring_dedup": op1.op1_substring_dedup,
+    "op5_decontaminate": op5.op5_decontaminate,
+    "op7_minhash_dedup": op7.op7_minhash_dedup,
+}
+ORACLES = {
+    "op1_substring_dedup": op1.SQL,
+    "op5_decontaminate": op5.SQL,
+    "op7_minhash_dedup": op7.SQL,
+}
