@@ -3,10 +3,10 @@
 Every window of ``width`` consecutive words gets a rolling hash. Two equal windows hold the same smallest
 hash of ``GRAM`` words (their anchor), so windows are counted by anchor and hash, 128 bits together:
 
-1. A text is cut into runs of windows with one anchor place, about 14 windows each. A run is written as
-   its anchor and the hash of all its words.
-2. Runs are counted. A run that occurs twice repeats in all of its windows; an anchor that occurs once
-   has no repeated window. This settles whole copies and the inside of shared passages.
+1. A text is cut into runs of windows with one anchor place, about 14 windows each. A run is its anchor
+   and the hash of all its words. Anchors are counted: one that occurs once has no repeated window.
+2. Runs of the others are counted. A run that occurs twice repeats in all of its windows. This settles
+   whole copies and the inside of shared passages.
 3. What is left, runs that occur once at an anchor that occurs elsewhere too (the edges of shared
    passages), is counted window by window, with each distinct other run of that anchor.
 4. Removed windows merge into intervals per document.
@@ -16,7 +16,6 @@ Counting combines before each shuffle; rows of one hot run, anchor or window are
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,24 +119,24 @@ def repeated_spans(docs: DataFrame, width: int, gram: int = GRAM) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     gram = min(gram, width)
-    runs = keep(docs.filter("text IS NOT NULL").mapInArrow(run_rows(width, gram), _RUNS), "runs")
-    contents = runs.groupBy("anchor", "content").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "_th", "start")).alias("first"))
-    contents = keep(contents, "contents")
-    # an anchor of one run that occurs once needs no look; "open" anchors have several different runs
-    found = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("times").alias("total")).filter("total > 1")
-    state = contents.join(found, "anchor").select("anchor", "content", "times", "first", (F.col("kinds") > 1).alias("open"))
-    marked = keep(runs.join(state, ["anchor", "content"]).select(
+    # an anchor that occurs once has no repeated window; the runs are cheaper to find twice than to write
+    runs = docs.filter("text IS NOT NULL").mapInArrow(run_rows(width, gram), _RUNS)
+    often = runs.groupBy("anchor").count().filter("count > 1")
+    runs = keep(runs.join(often, "anchor", "left_semi"), "runs")
+    contents = runs.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min("doc_id").alias("first"))
+    # "open" anchors have several different runs; one document of each is looked into
+    kinds = contents.groupBy("anchor").agg((F.count("*") > 1).alias("open"))
+    state = contents.join(kinds, "anchor")
+    marked = keep(runs.join(state, ["anchor", "content"]).filter("open OR times > 1").select(
         "doc_id", "_th", "start", "windows", "anchor", "times",
-        (F.col("open") & F.col("first").eqNullSafe(F.struct("doc_id", "_th", "start"))).alias("counted")), "marked")
+        (F.col("open") & F.col("first").eqNullSafe(F.col("doc_id"))).alias("counted")), "marked")
     listed = marked.filter("counted").groupBy("doc_id", "_th").agg(
         F.collect_list(F.struct("start", "windows", "anchor", "times")).alias("runs"))
     windows = keep(
         docs.alias("d").join(listed.alias("r"), same_row("d", "r")).select("d.doc_id", "d._th", "d.text", "r.runs")
-        .dropDuplicates(["doc_id", "_th"])
         .mapInArrow(window_rows(width), "doc_id long, _th long, start int, anchor long, hash long, times long"), "windows")
     twice = windows.groupBy("anchor", "hash").agg(F.sum("times").alias("total")).filter("total > 1").drop("total")
-    single = windows.filter("times = 1").join(twice, ["anchor", "hash"]).select("doc_id", "_th", "start", F.lit(width).alias("length"))
+    single = windows.filter("times = 1").join(twice, ["anchor", "hash"], "left_semi").select("doc_id", "_th", "start", F.lit(width).alias("length"))
     whole = marked.filter("times > 1").select("doc_id", "_th", "start", (F.col("windows") + (width - 1)).alias("length"))
     return whole.unionByName(single).groupBy("doc_id", "_th").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
 
