@@ -11,7 +11,9 @@ hash of ``GRAM`` words (their anchor), so windows are counted by anchor and hash
    passages), is counted window by window, with each distinct other run of that anchor.
 4. Removed windows merge into intervals per document.
 
-Counting combines before each shuffle; rows of one hot run, anchor or window are never gathered.
+Counting combines before each shuffle; rows of one hot run, anchor or window are never gathered. Counts
+are written before they are joined, so that the joins read plain shuffles, which Spark splits where one
+anchor holds much of the rows.
 """
 
 from __future__ import annotations
@@ -121,12 +123,12 @@ def repeated_spans(docs: DataFrame, width: int, gram: int = GRAM) -> DataFrame:
     gram = min(gram, width)
     # an anchor that occurs once has no repeated window; the runs are cheaper to find twice than to write
     runs = docs.filter("text IS NOT NULL").mapInArrow(run_rows(width, gram), _RUNS)
-    often = runs.groupBy("anchor").count().filter("count > 1")
+    often = keep(runs.groupBy("anchor").count().filter("count > 1").select("anchor"), "often")
     runs = keep(runs.join(often, "anchor", "left_semi"), "runs")
-    contents = runs.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min("doc_id").alias("first"))
+    contents = keep(runs.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min("doc_id").alias("first")), "contents")
     # "open" anchors have several different runs; one document of each is looked into
-    kinds = contents.groupBy("anchor").agg((F.count("*") > 1).alias("open"))
-    state = contents.join(kinds, "anchor")
+    kinds = keep(contents.groupBy("anchor").agg((F.count("*") > 1).alias("open")), "kinds")
+    state = keep(contents.join(kinds, "anchor"), "state")
     marked = keep(runs.join(state, ["anchor", "content"]).filter("open OR times > 1").select(
         "doc_id", "_th", "start", "windows", "anchor", "times",
         (F.col("open") & F.col("first").eqNullSafe(F.col("doc_id"))).alias("counted")), "marked")
@@ -135,7 +137,7 @@ def repeated_spans(docs: DataFrame, width: int, gram: int = GRAM) -> DataFrame:
     windows = keep(
         docs.alias("d").join(listed.alias("r"), same_row("d", "r")).select("d.doc_id", "d._th", "d.text", "r.runs")
         .mapInArrow(window_rows(width), "doc_id long, _th long, start int, anchor long, hash long, times long"), "windows")
-    twice = windows.groupBy("anchor", "hash").agg(F.sum("times").alias("total")).filter("total > 1").drop("total")
+    twice = keep(windows.groupBy("anchor", "hash").agg(F.sum("times").alias("total")).filter("total > 1").drop("total"), "twice")
     single = windows.filter("times = 1").join(twice, ["anchor", "hash"], "left_semi").select("doc_id", "_th", "start", F.lit(width).alias("length"))
     whole = marked.filter("times > 1").select("doc_id", "_th", "start", (F.col("windows") + (width - 1)).alias("length"))
     return whole.unionByName(single).groupBy("doc_id", "_th").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
