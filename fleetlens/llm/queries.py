@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from fleetlens.llm import op1_substring_dedup as op1
 from fleetlens.llm import op2_language_id as op2
+from fleetlens.llm import op3_lm_score as op3
 from fleetlens.llm import op4_mix_sources as op4
 from fleetlens.llm import op5_decontaminate as op5
+from fleetlens.llm import op6_toxicity as op6
 from fleetlens.llm import op7_minhash_dedup as op7
 from fleetlens.llm import op8_embedding_dedup as op8
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
     "op2_language_id": op2.op2_language_id,
+    "op3_lm_score": op3.op3_lm_score,
     "op4_mix_sources": op4.op4_mix_sources,
     "op5_decontaminate": op5.op5_decontaminate,
+    "op6_toxicity": op6.op6_toxicity,
     "op7_minhash_dedup": op7.op7_minhash_dedup,
     "op8_embedding_dedup": op8.op8_embedding_dedup,
 }
+#: What SQL can't express is tested against brute force and held-out labels.
 ORACLES = {
     "op1_substring_dedup": op1.SQL,
     "op4_mix_sources": op4.SQL,
