@@ -37,17 +37,15 @@ BLANK, END = 0x20, 0x00
 def coded_bytes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Words of each text joined by one blank, with one end byte, and the bounds of the texts."""
     size = words.ends - words.starts
-    texts, counts = len(words.bounds) - 1, words.counts
+    counts = words.counts
     # each word and each text without words takes one byte more than its letters
-    length = np.zeros(texts, np.int64)
-    np.add.at(length, words.owner, size + 1)
-    length[counts == 0] = 1
+    before = np.concatenate([[0], np.cumsum(size + 1)])
+    length = np.maximum(before[words.bounds[1:]] - before[words.bounds[:-1]], 1)
     bounds = np.concatenate([[0], np.cumsum(length)])
     out = np.full(bounds[-1], BLANK, np.uint8)
     out[bounds[1:] - 1] = END
     if len(size):
-        ends = np.cumsum(size + 1)
-        first = np.concatenate([[0], ends[:-1]])  # of each word, among words alone
+        first = before[:-1]  # of each word, among words alone
         empty_before = np.concatenate([[0], np.cumsum(counts == 0)])[words.owner]
         shift = np.repeat(first + empty_before - words.starts, size)
         source = np.repeat(words.starts - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
@@ -58,11 +56,13 @@ def coded_bytes(words: Words) -> tuple[np.ndarray, np.ndarray]:
 def strings_at(coded: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
     """At each byte, it and the ``order`` bytes before it as one number, the byte lowest; zeros before a text."""
     value = coded.astype(np.uint64)
-    at = np.arange(len(coded)) - np.repeat(bounds[:-1], np.diff(bounds))
-    for j in range(1, order + 1):
-        back = np.zeros(len(coded), np.uint64)
-        back[j:] = coded[:-j] if j < len(coded) else 0
-        value |= np.where(at >= j, back, 0).astype(np.uint64) << np.uint64(8 * j)
+    for j in (1, 2, 4):  # numbers of 2, 4, 8 bytes
+        value[j:] |= value[:-j] << np.uint64(8 * j)
+    length = np.diff(bounds)
+    keep_bytes = np.full(len(coded), order + 1)
+    for at in range(min(order, int(length.max(initial=0)))):
+        keep_bytes[bounds[:-1][length > at] + at] = at + 1
+    value &= np.uint64((1 << 64) - 1) >> (np.uint64(64) - np.uint64(8) * keep_bytes.astype(np.uint64))
     return value
 
 

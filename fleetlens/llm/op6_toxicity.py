@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain: categories are predicted one after another, each from words and the earlier chances.
 
-The chain has a linear model (logistic regression) per category. Its features are words of the text,
-present or not, and the chances of the categories before it. While training, those chances come from
+The chain has a linear model (logistic regression) per category. Its features are words and beginnings
+of words of the text, present or not, and the chances of the categories before it. While training, those chances come from
 models that have not seen the row (out-of-fold predictions), as they will when the chain is applied.
 
 Words are chosen over all labelled texts: Spark counts in how many texts of either label each word
@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.linear import SparseRows, fit_logistic, predict_logistic
 from fleetlens.llm.tables import bounded_batches, documents, keep, read
-from fleetlens.llm.words import Words, pieces, signed, split_words
+from fleetlens.llm.words import Words, mix, pieces, signed, split_words
 
 #: Bounds: words used as features, and labelled rows of which models are fitted.
 FEATURES, SAMPLE_ROWS, FOLDS = 2000, 6000, 5
 LEAST_TEXTS, PENALTY, THRESHOLD = 4, 0.3, 0.5
+STEMS = (4, 5, 6, 8)
 NOT_LETTER = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 # Words that name a category of a text labelled toxic. A toxic text of none of them
@@ -37,9 +38,23 @@ CATEGORIES = {
 }
 
 
-def distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(text, word) of each distinct word of each text."""
-    owner, value = words.owner, words.hashes
+def word_features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each word and of its beginnings of ``STEMS`` bytes, which inflected forms share."""
+    owners, found = [words.owner], [words.hashes]
+    size = words.ends - words.starts
+    for n in STEMS:
+        long = size >= n
+        at, total = words.starts[long], np.zeros(int(long.sum()), np.uint64)
+        for i in range(n):
+            total = mix(total + words.data[at + i] + np.uint64(n))
+        owners.append(owners[0][long])
+        found.append(total)
+    return np.concatenate(owners), np.concatenate(found)
+
+
+def distinct_features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of each distinct feature of each text."""
+    owner, value = word_features(words)
     order = np.lexsort((value, owner))
     owner, value = owner[order], value[order]
     new = np.ones(len(value), bool)
@@ -51,7 +66,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per piece: in how many texts, and in how many with label 1, each word occurs."""
     for batch in batches:
         for part, data, offsets in pieces(batch):
-            owner, value = distinct_words(split_words(data, offsets, NOT_LETTER, lower=True))
+            owner, value = distinct_features(split_words(data, offsets, NOT_LETTER, lower=True))
             label = part.column("label").to_numpy(zero_copy_only=False)
             unique, place = np.unique(value, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
@@ -73,12 +88,13 @@ def choose_words(labelled: DataFrame, label: str, count: int = FEATURES, least:
 
 
 def features_of(words: Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) of the chosen words in each text, each once."""
-    if not len(vocabulary) or not len(words.hashes):
+    """(text, number) of the chosen features in each text, each once."""
+    owner, value = word_features(words)
+    if not len(vocabulary) or not len(value):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words.hashes), len(vocabulary) - 1)
-    hit = np.flatnonzero(vocabulary[at] == words.hashes)
-    pair = np.unique(words.owner[hit] * len(vocabulary) + at[hit])
+    at = np.minimum(np.searchsorted(vocabulary, value), len(vocabulary) - 1)
+    hit = np.flatnonzero(vocabulary[at] == value)
+    pair = np.unique(owner[hit] * len(vocabulary) + at[hit])
     return pair // len(vocabulary), pair % len(vocabulary)
 
 

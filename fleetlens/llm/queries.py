@@ -10,6 +10,8 @@ from fleetlens.llm import op5_decontaminate as op5
 from fleetlens.llm import op6_toxicity as op6
 from fleetlens.llm import op7_minhash_dedup as op7
 from fleetlens.llm import op8_embedding_dedup as op8
+from fleetlens.llm import op9_html_extract as op9
+from fleetlens.llm import op10_quality as op10
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
@@ -20,6 +22,8 @@ QUERIES = {
     "op6_toxicity": op6.op6_toxicity,
     "op7_minhash_dedup": op7.op7_minhash_dedup,
     "op8_embedding_dedup": op8.op8_embedding_dedup,
+    "op9_html_extract": op9.op9_html_extract,
+    "op10_quality": op10.op10_quality,
 }
 #: What SQL can't express is tested against brute force and held-out labels.
 ORACLES = {
