@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.crf import Chain, fit_chain, forward_backward
 from fleetlens.llm.linear import SparseRows
-from fleetlens.llm.tables import bounded_batches, documents, read
+from fleetlens.llm.tables import bounded_batches, documents, labelled_sample, read
 from fleetlens.llm.words import pieces, split_words
 
 #: Bounds of the sample fitted on: texts, and lines of them all together.
@@ -132,7 +132,7 @@ def fit_quality(
     labelled: DataFrame, label: str = "quality", text: str = "text", sample_texts: int = SAMPLE_TEXTS,
     sample_lines: int = SAMPLE_LINES, penalty: float = PENALTY,
 ) -> QualityModel:
-    """A model from texts with a 0/1 label, of a sample bounded by texts and lines and chosen by a hash of the text.
+    """A model from texts with a 0/1 label; of more than ``sample_texts`` texts or ``sample_lines`` lines some are taken.
 
     Rows with a null label are left out. If only one label occurs, or no text has a line, the score is
     the share of label 1 for every text, and a half if there are no rows.
@@ -141,8 +141,7 @@ def fit_quality(
     rows = labelled.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("long").alias("label")).filter("label IS NOT NULL")
     total, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = ones / total if total else 0.5
-    share = min(1.0, 0.9 * sample_texts / max(total, 1))
-    sample = rows.withColumn("h", F.xxhash64("text", F.lit(10))).filter(F.pmod("h", F.lit(1 << 40)) < share * (1 << 40))
+    sample = rows.withColumn("h", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,6 +206,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    labels = read(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "quality")
-    model = fit_quality(docs.select("doc_id", "text").join(labels, "doc_id"))
+    labels = read(spark, sf_dir, "labels").filter(~held_out())
+    model = fit_quality(labelled_sample(docs, labels, "quality", SAMPLE_TEXTS, 10), label="label")
     return quality(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")

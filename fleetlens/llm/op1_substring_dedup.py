@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.tables import bounded_batches, documents, keep, read, same_row
-from fleetlens.llm.words import mix, pieces, powers, signed, split_words, window_hashes
+from fleetlens.llm.words import Words, mix, pieces, powers, signed, split_words, window_hashes
 
 GRAM = 8
 
@@ -151,23 +151,30 @@ def removed_mask(bounds: np.ndarray, owner: np.ndarray, start: np.ndarray, lengt
     return np.cumsum(edges)[:-1] > 0
 
 
+def kept_texts(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[bytes], list[np.ndarray]]:
+    """Words of the texts of a piece, their kept words joined by one blank, and which words are removed, by text."""
+    words = split_words(data, offsets)
+    spans = part.column("spans")
+    flat = spans.flatten()
+    own = np.repeat(np.arange(part.num_rows), spans.value_lengths().fill_null(0).to_numpy())
+    gone = removed_mask(words.bounds, own, flat.field("start").to_numpy(), flat.field("length").to_numpy())
+    whole, kept, masks = words.data.tobytes(), [], []
+    for lo, hi in zip(words.bounds[:-1], words.bounds[1:]):
+        masks.append(gone[lo:hi])
+        left = np.flatnonzero(~masks[-1]) + lo
+        kept.append(b" ".join([whole[a:b] for a, b in zip(words.starts[left].tolist(), words.ends[left].tolist())]))
+    return words, kept, masks
+
+
 def strip_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in pieces(batch):
-            words = split_words(data, offsets)
-            spans = part.column("spans")
-            flat = spans.flatten()
-            own = np.repeat(np.arange(part.num_rows), spans.value_lengths().fill_null(0).to_numpy())
-            gone = removed_mask(words.bounds, own, flat.field("start").to_numpy(), flat.field("length").to_numpy())
-            whole, kept, n_removed, intervals = words.data.tobytes(), [], [], []
-            for i in range(part.num_rows):
-                lo, hi = words.bounds[i], words.bounds[i + 1]
-                mask = gone[lo:hi]
+            words, kept, masks = kept_texts(part, data, offsets)
+            intervals = []
+            for mask in masks:
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
                 intervals.append([{"start": int(a), "stop": int(b)} for a, b in edges.reshape(-1, 2)])
-                left = np.flatnonzero(~mask) + lo
-                kept.append(b" ".join([whole[a:b] for a, b in zip(words.starts[left].tolist(), words.ends[left].tolist())]))
-                n_removed.append(int(mask.sum()))
+            n_removed = [int(mask.sum()) for mask in masks]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("_th"), pa.array(words.counts.astype(np.int64)), pa.array(n_removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string()),

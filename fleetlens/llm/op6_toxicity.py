@@ -1,12 +1,12 @@
 """Toxicity by a classifier chain: categories are predicted one after another, each from words and the earlier chances.
 
 The chain has a linear model (logistic regression) per category. Its features are words and beginnings
-of words of the text, present or not, and the chances of the categories before it. While training, those chances come from
-models that have not seen the row (out-of-fold predictions), as they will when the chain is applied.
+of words of the text, present or not, and the chances of the categories before it. While training, those
+chances come from models that have not seen the row (out-of-fold predictions), as they will when the
+chain is applied.
 
-Words are chosen over all labelled texts: Spark counts in how many texts of either label each word
-occurs, and the words that tell most about the label become features. The models are then fitted on a
-bounded sample of labelled rows.
+All fitting is on a bounded sample of labelled rows. Spark counts in how many of its texts of either
+label each word or beginning occurs; those that tell most about the label become features.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.linear import SparseRows, fit_logistic, predict_logistic
-from fleetlens.llm.tables import bounded_batches, documents, keep, read
+from fleetlens.llm.tables import bounded_batches, documents, labelled_sample, read
 from fleetlens.llm.words import Words, mix, pieces, signed, split_words
 
-#: Bounds: words used as features, and labelled rows of which models are fitted.
-FEATURES, SAMPLE_ROWS, FOLDS = 2000, 6000, 5
-LEAST_TEXTS, PENALTY, THRESHOLD = 4, 0.3, 0.5
+#: Bounds: words used as features, and labelled rows of which words are chosen and models fitted.
+FEATURES, SAMPLE_ROWS, FOLDS = 2000, 12_000, 5
+LEAST_TEXTS, PENALTY, THRESHOLD = 4, 0.05, 0.4
 STEMS = (4, 5, 6, 8)
 NOT_LETTER = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
@@ -75,7 +75,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose_words(labelled: DataFrame, label: str, count: int = FEATURES, least: int = LEAST_TEXTS) -> np.ndarray:
-    """The ``count`` words with the largest chi-square value between presence and label, over all labelled texts."""
+    """The ``count`` words with the largest chi-square value between presence and label, over the labelled texts."""
     total, ones = labelled.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0))).first()
     rows = labelled.select("text", F.col(label).cast("long").alias("label"))
     counts = rows.mapInArrow(word_counts, "word long, n long, n1 long").groupBy("word").agg(
@@ -157,17 +157,13 @@ def fit_toxicity(
 ) -> ToxicityChain:
     """A chain over the 0/1 columns ``categories`` of ``labelled`` (text and those columns); ``main`` chooses the words.
 
-    Rows with a null label are left out. Words are counted over all rows; the sample of rows fitted on
-    is chosen by a hash of the text and bounded by ``sample_rows``.
+    Rows with a null label are left out. Of more than ``sample_rows`` rows some are taken.
     """
     bounded_batches(labelled.sparkSession)
-    rows = labelled.select("text", *[F.col(c).cast("long").alias(c) for c in categories]).na.drop("any", subset=list(categories))
-    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).cast("long").alias(c) for c in categories]).na.drop("any")
     vocabulary = choose_words(rows, main, features)
-    share = min(1.0, 0.9 * sample_rows / max(rows.count(), 1))
-    sample = rows.withColumn("h", F.xxhash64("text", F.lit(6))).filter(F.pmod("h", F.lit(1 << 40)) < share * (1 << 40))
     schema = "".join(f"{c} long, " for c in ("h", *categories)) + "features array<int>"
-    table = sample.mapInArrow(feature_rows(vocabulary, ["h", *categories]), schema).limit(sample_rows).toArrow()
+    table = rows.withColumn("h", F.xxhash64("text")).mapInArrow(feature_rows(vocabulary, ["h", *categories]), schema).limit(sample_rows).toArrow()
     table = table.take(pa.array(np.lexsort([table.column(c).to_numpy() for c in (*categories, "h")]))) if table.num_rows else table
     lists = table.column("features").combine_chunks()
     owner = np.repeat(np.arange(table.num_rows), lists.value_lengths().to_numpy()) if table.num_rows else np.zeros(0, np.int64)
@@ -206,18 +202,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled_categories(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def with_categories(rows: DataFrame) -> DataFrame:
     """Texts with their toxic label and the categories named by ``CATEGORIES``."""
-    rows = docs.select("doc_id", "text").join(labels.select("doc_id", F.col("toxic").cast("long").alias("toxic")), "doc_id")
-    rows = rows.filter("toxic IS NOT NULL").withColumn("low", F.lower(F.coalesce("text", F.lit(""))))
-    return rows.select("doc_id", "text", *[
-        F.when((F.col("toxic") == 1) & F.col("low").rlike(rf"\b({'|'.join(words)})\b"), 1).otherwise(0).alias(name)
-        for name, words in CATEGORIES.items()], "toxic")
+    low = F.lower("text")
+    return rows.select("text", *[
+        F.when((F.col("label") == 1) & low.rlike(rf"\b({'|'.join(words)})\b"), 1).otherwise(0).alias(name)
+        for name, words in CATEGORIES.items()], F.col("label").alias("toxic"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    labelled = keep(labelled_categories(docs, read(spark, sf_dir, "labels")).filter(~held_out()).drop("doc_id"), "labelled")
+    labelled = with_categories(labelled_sample(docs, read(spark, sf_dir, "labels").filter(~held_out()), "toxic", SAMPLE_ROWS, 6))
     names = [*CATEGORIES, "toxic"]
     scores = toxicity(docs, fit_toxicity(labelled, names, "toxic"))
     return scores.select("doc_id", held_out().alias("held_out"), *[f"p_{c}" for c in CATEGORIES], F.col("p_toxic").alias("score"),

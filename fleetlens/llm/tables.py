@@ -50,6 +50,18 @@ def same_row(left: str, right: str) -> Column:
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}._th") == F.col(f"{right}._th"))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int) -> DataFrame:
+    """Rows (text, label) of about ``most`` labelled ids at most, chosen by a hash of the id.
+
+    Rows of ``labels`` without id or label and repeated ones are left out. The chosen ids, bounded by
+    ``most``, are sent to the documents, so no text is moved.
+    """
+    known = labels.select("doc_id", F.col(label).cast("long").alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL").distinct()
+    share = min(1.0, 0.9 * most / max(known.count(), 1))
+    chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) < share * (1 << 40)).limit(most)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "label")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """As many partitions as shuffles have, for rows whose work is much larger than their size."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
