@@ -165,25 +165,28 @@ def phrase_counts(model: LanguageModel, symbols: np.ndarray, bounds: np.ndarray)
     return np.stack([np.bincount(owner, p, len(counts)) for p in phrases], 1) if len(phrases) else np.zeros((len(counts), 0))
 
 
+def predictions(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and least cost of each text of a piece."""
+    lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+    symbols, bounds = collapse(model.fold[code_points(data.tobytes().decode("utf-8"))], lead[offsets])
+    letters = np.concatenate([[0], np.cumsum(symbols != 0)])
+    has = letters[bounds[1:]] > letters[bounds[:-1]]
+    if not model.languages:
+        return ["und"] * len(has), np.zeros(len(has)), np.zeros(len(has))
+    cost = phrase_counts(model, symbols, bounds) * model.bits / np.maximum(np.diff(bounds), 1)[:, None]
+    first, best = cost.argmin(1), cost.min(1)
+    rest = np.where(np.arange(cost.shape[1]) == first[:, None], np.inf, cost).min(1)
+    score = np.where(has, 1 - best / np.maximum(rest, 1e-12), 0.0).clip(0, 1)
+    return [model.languages[k] if h else "und" for k, h in zip(first.tolist(), has.tolist())], score, np.where(has, best, 0.0)
+
+
 def predict_rows(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in pieces(batch, size=PIECE):
-                lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
-                symbols, bounds = collapse(model.fold[code_points(data.tobytes().decode("utf-8"))], lead[offsets])
-                phrases = phrase_counts(model, symbols, bounds)
-                letters = np.concatenate([[0], np.cumsum(symbols != 0)])
-                has = letters[bounds[1:]] > letters[bounds[:-1]]
-                cost = phrases * model.bits / np.maximum(np.diff(bounds), 1)[:, None]
-                lang, score, best = ["und"] * len(has), np.zeros(len(has)), np.zeros(len(has))
-                if cost.shape[1]:
-                    first = cost.argmin(1)
-                    best = cost.min(1)
-                    rest = np.where(np.arange(cost.shape[1]) == first[:, None], np.inf, cost).min(1)
-                    score = np.where(has, 1 - best / np.maximum(rest, 1e-12), 0.0).clip(0, 1)
-                    lang = [model.languages[k] if h else "und" for k, h in zip(first.tolist(), has.tolist())]
+                lang, score, cost = predictions(model, data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("_th"), pa.array(lang, pa.string()), pa.array(score), pa.array(np.where(has, best, 0.0))],
+                    [part.column("doc_id"), part.column("_th"), pa.array(lang, pa.string()), pa.array(score), pa.array(cost)],
                     names=["doc_id", "_th", "lang_pred", "score", "cost"])
 
     return run
