@@ -26,7 +26,7 @@ from fleetlens.llm.words import pieces
 
 #: The sample's bound: so many characters of labelled text for all languages together.
 SAMPLE_CHARS = 80_000
-LETTERS, BLOCK, PIECE = 46, 256, 1 << 21
+LETTERS, BLOCK, PIECE = 46, 256, 1 << 20
 
 
 def suffix_transitions(text: list[int], symbols: int) -> np.ndarray:
@@ -100,7 +100,8 @@ def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", s
     share = sample_chars // max(len(totals), 1)
     # three times the rows that fill the share on average, and 20: enough whatever the hash picks
     parts = rows.sparkSession.createDataFrame([(t.lang, 3 * share / max(t.chars, 1) + 20 / t.n) for t in totals], "lang string, part double")
-    picked = rows.join(parts, "lang").withColumn("h", F.xxhash64("text")).filter(
+    picked = rows.join(F.broadcast(parts), "lang")  # as many rows as were just collected
+    picked = picked.withColumn("h", F.xxhash64("text")).filter(
         F.pmod("h", F.lit(1 << 40)) < F.col("part") * float(1 << 40)).select("lang", "h", F.substring("text", 1, share).alias("text"))
     texts: dict[str, list[str]] = {t.lang: [] for t in totals}
     room = dict.fromkeys(texts, share)

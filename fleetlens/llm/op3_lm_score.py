@@ -28,7 +28,7 @@ from fleetlens.llm.tables import bounded_batches, documents, keep, read
 from fleetlens.llm.words import Words, pieces, signed, split_words
 
 ORDER, DISCOUNT, MAX_STRINGS, TOP_WORDS = 6, 0.5, 1_500_000, 500_000
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: A counter is emptied when it holds more than so many different keys.
 HELD = 2_000_000
 BLANK, END = 0x20, 0x00
