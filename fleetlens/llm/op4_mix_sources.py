@@ -93,7 +93,7 @@ def mix_sources(
     rows = rows.withColumn("range", F.expr(f"place div {-(-(1 << _BITS) // ranges)}L"))
     where = ["source_key", "class", "range"]
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = keep(rows.groupBy(*where).agg(F.count("*").alias("n"), F.sum("size").alias("words")), "blocks")
+    blocks = rows.groupBy(*where).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     classes = blocks.groupBy("source_key", "class").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     before_class = classes.select("source_key", "class", F.coalesce(
         F.sum("n").over(earlier(Window.partitionBy("source_key").orderBy("class"))), F.lit(0)).alias("before_class"))
