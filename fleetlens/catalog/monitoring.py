@@ -152,7 +152,7 @@ _FEATURE_COLUMNS = ", ".join(rnd(f"r[record + 1][{i + 1}]", f"feature{i:010d}")
 SELECT inferenceId, CAST(record AS INTEGER) AS record, {_FEATURE_COLUMNS}, response AS prediction0 {_INNER}""")
 def capture_features(spark, sf_dir):
     records = capture_records(spark, sf_dir).filter(F.col("eventMetadata.inferenceId").isNotNull())
-    return capture.capture_features(records, 2)
+    return capture.capture_features(records, 2).filter("problem IS NULL").drop("more", "problem")
 
 
 @query("udf_preprocessor", f"WITH {CAPTURED} SELECT inferenceId, {_FEATURE_COLUMNS} {_INNER}")

@@ -93,13 +93,14 @@ def join_spine_errors(spark, sf_dir):
 
 @query("join_spine_maint", compose(f"""SELECT coalesce(t.machineID, k.machineID) AS machineID,
 coalesce(t.datetime, k.datetime) AS datetime, {cols(COMPONENTS, 'CAST(coalesce({c}, 0) AS DOUBLE) AS {c}')}
-FROM (SELECT * FROM telemetry WHERE volt <= 25) t FULL JOIN comp_counts k
-ON t.machineID = k.machineID AND t.datetime = k.datetime""", "telemetry", "comp_counts"))
+FROM telemetry t FULL JOIN (SELECT * REPLACE (CASE WHEN machineID % 3 = 0 THEN datetime + INTERVAL 12 HOURS
+ELSE datetime END AS datetime) FROM comp_counts) k ON t.machineID = k.machineID AND t.datetime = k.datetime""", "telemetry", "comp_counts"))
 def join_spine_maint(spark, sf_dir):
-    """Readings of at most 25 volts as the spine, so that both sides have unmatched rows."""
+    """All readings as the spine; replacements of every third machine are moved off it, so both sides have unmatched rows."""
     data = adapters.inputs(spark, sf_dir)
-    spine = data.telemetry.filter(F.col("volt") <= 25).select(*KEYS)
-    return joins.join_spine_maint(spine, code_counts(data.maint, "comp", COMPONENTS))
+    moved = F.when(F.col("machineID") % 3 == 0, F.col("datetime") + F.expr("INTERVAL 12 HOURS")).otherwise(F.col("datetime"))
+    counts = code_counts(data.maint.withColumn("datetime", moved), "comp", COMPONENTS)
+    return joins.join_spine_maint(data.telemetry.select(*KEYS), counts)
 
 
 @query("positional_concat", compose(f"""SELECT coalesce(a.position, b.position) AS position, {rnds(MEAN_BIN)}, {rnds(SD_BIN)}

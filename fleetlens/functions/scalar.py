@@ -21,8 +21,8 @@ def json_request(columns: Sequence[str]) -> Column:
 
 
 def csv_request(columns: Sequence[str]) -> Column:
-    """One record as a CSV line."""
-    return F.concat_ws(",", *columns)
+    """One record as a CSV line; a null is an empty place."""
+    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
 def dashed(column: Column) -> Column:

@@ -42,31 +42,33 @@ def pretraining_bias(
         F.sum("a").alias("na"), F.sum("d").alias("nd"),
         F.sum(F.when(accepted, F.col("a")).otherwise(0)).alias("qa"),
         F.sum(F.when(accepted, F.col("d")).otherwise(0)).alias("qd"),
-        F.collect_list(F.struct("a", "d")).alias("per_label"),
-    )
-    shares = F.transform("per_label", lambda x: F.struct(
-        F.try_divide(x["a"], F.col("na")).alias("a"), F.try_divide(x["d"], F.col("nd")).alias("d")))
+    ).first()  # four numbers
+
+    def share(part, whole) -> Column:
+        return F.try_divide(F.lit(part) if not isinstance(part, str) else F.col(part), F.lit(whole))
 
-    def total(term) -> Column:
-        return F.aggregate(F.transform("p", term), F.lit(0.0), lambda s, x: s + x)
+    p, q = share("a", totals.na), share("d", totals.nd)
+    middle = (p + q) / 2
 
-    def divergence(p: Column, q: Column) -> Column:
-        """p ln(p / q): zero where p is zero, null where only q is."""
-        return F.when(p == 0, F.lit(0.0)).otherwise(p * F.ln(F.try_divide(p, F.nullif(q, F.lit(0.0)))))
+    def divergence(x: Column, y: Column) -> Column:
+        """x ln(x / y): zero where x is zero, null where only y is."""
+        return F.when(x == 0, F.lit(0.0)).otherwise(x * F.ln(F.try_divide(x, F.nullif(y, F.lit(0.0)))))
 
-    def middle(x: Column) -> Column:
-        return (x["a"] + x["d"]) / 2
+    def total(term: Column) -> Column:
+        """A sum that is null if a term is."""
+        return F.when(F.count_if(term.isNull()) == 0, F.coalesce(F.sum(term), F.lit(0.0)))
 
+    rows_a, rows_d = F.lit(totals.na), F.lit(totals.nd)
     metrics = {
-        "CI": F.try_divide(F.col("na") - F.col("nd"), F.col("na") + F.col("nd")),
-        "DPL": F.try_divide("qa", "na") - F.try_divide("qd", "nd"),
-        "KL": total(lambda x: divergence(x["a"], x["d"])),
-        "JS": (total(lambda x: divergence(x["a"], middle(x))) + total(lambda x: divergence(x["d"], middle(x)))) / 2,
-        "LP": F.sqrt(total(lambda x: F.pow(x["a"] - x["d"], F.lit(2)))),
-        "TVD": total(lambda x: F.abs(x["a"] - x["d"])) / 2,
-        "KS": F.array_max(F.transform("p", lambda x: F.abs(x["a"] - x["d"]))),
+        "CI": F.try_divide(rows_a - rows_d, rows_a + rows_d),
+        "DPL": share(totals.qa, totals.na) - share(totals.qd, totals.nd),
+        "KL": total(divergence(p, q)),
+        "JS": (total(divergence(p, middle)) + total(divergence(q, middle))) / 2,
+        "LP": F.sqrt(total(F.pow(p - q, F.lit(2)))),
+        "TVD": total(F.abs(p - q)) / 2,
+        "KS": F.max(F.abs(p - q)),
     }
-    wide = totals.withColumn("p", shares).select(*[m.cast("double").alias(n) for n, m in metrics.items()])
+    wide = labels.agg(*[m.cast("double").alias(n) for n, m in metrics.items()])
     result = wide.unpivot([], list(metrics), "metric", "value")
     if group is None:
         return result

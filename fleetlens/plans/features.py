@@ -146,10 +146,14 @@ def maintenance_features(maint: DataFrame, telemetry: DataFrame, spec: FeatureSp
     return days.select(*MAINTENANCE_FEATURES)
 
 
-def failure_features(failures: DataFrame, components: Sequence[str] = COMPONENTS) -> DataFrame:
-    """Failures of declared components; undeclared values become null."""
-    known = F.when(in_domain("failure", components), F.col("failure"))
-    return failures.select("datetime", "machineID", known.alias("failure"))
+def failure_features(failures: DataFrame) -> DataFrame:
+    """Failures by name; one of an undeclared component keeps its name, see ``undeclared``."""
+    return failures.select("datetime", "machineID", "failure")
+
+
+def undeclared(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """How often each value of ``column`` occurs that is not declared: rows (value, rows)."""
+    return df.filter(~in_domain(column, values)).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
 
 
 def final_features(

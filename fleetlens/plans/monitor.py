@@ -86,16 +86,16 @@ def histogram_distance(left: str = "", right: str = "base_") -> Column:
     return F.greatest(*[F.abs(_share(left, i) - _share(right, i)) for i in range(BUCKETS)])
 
 
-def with_baseline(batch: DataFrame, baseline: DataFrame) -> DataFrame:
+def with_baseline(batch: DataFrame, baseline: DataFrame, how: str = "left") -> DataFrame:
     """Put the baseline of each feature beside a profile; the baseline has one row per column."""
     renamed = baseline.select("feature", *[F.col(c).alias(f"base_{c}") for c in baseline.columns if c != "feature"])
-    return batch.join(F.broadcast(renamed), "feature", "left")
+    return batch.join(F.broadcast(renamed) if how == "left" else renamed, "feature", how)
 
 
 def violations(batch: DataFrame, baseline: DataFrame, drift_limit: float = 0.1, by: Sequence[str] = ()) -> DataFrame:
     """Rows (feature, check, observed, allowed, description) for every check that fails.
 
-    Checks: feature unknown to the baseline, changed type, lower completeness, negative values
+    Checks: feature unknown to the baseline, feature of the baseline missing (unless ``by`` is given), changed type, lower completeness, negative values
     where the baseline has none, and a histogram distance above ``drift_limit``.
     """
     completeness = F.try_divide(F.col("present"), F.col("present") + F.col("missing"))
@@ -109,6 +109,7 @@ def violations(batch: DataFrame, baseline: DataFrame, drift_limit: float = 0.1,
 
     known = F.col("base_present").isNotNull()
     checks = [
+        check(F.col("present").isNull(), "missing_column_check", F.lit(None), F.lit(None), "feature of the baseline is missing"),
         check(~known, "extra_column_check", F.col("present"), F.lit(0), "feature is not in the baseline"),
         check(completeness < base_completeness, "completeness_check", completeness, base_completeness,
               "share of present values is below the baseline"),
@@ -121,7 +122,7 @@ def violations(batch: DataFrame, baseline: DataFrame, drift_limit: float = 0.1,
         checks.append(check(
             F.col("inferred_type") != F.col("base_inferred_type"), "data_type_check", F.lit(None), F.lit(None),
             "type differs from the baseline"))
-    rows = with_baseline(batch, baseline).select(*by, "feature", F.explode(F.array_compact(F.array(*checks))).alias("_v"))
+    rows = with_baseline(batch, baseline, "left" if by else "full_outer").select(*by, "feature", F.explode(F.array_compact(F.array(*checks))).alias("_v"))
     return rows.select(*by, "feature", "_v.*")
 
 

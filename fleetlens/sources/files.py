@@ -4,16 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.schemas import HEADERLESS_MATRIX, TIMESTAMP_FORMAT
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema; no inference pass."""
-    reader = spark.read.schema(schema).option("header", True)
-    return reader.option("timestampFormat", TIMESTAMP_FORMAT).csv(path)
+    """CSV with a header; columns are found by name and parsed as declared, without an inference pass.
+
+    NaN is null. A value that can't be parsed is null too; ``csv_rejects`` lists the rows that have one.
+    """
+    raw = _raw_csv(spark, path, schema)
+    return raw.select(*[_parsed(f).alias(f.name) for f in schema.fields])
+
+
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of text with a value that can't be parsed, and ``bad_columns``, the names of such columns."""
+    raw = _raw_csv(spark, path, schema)
+    bad = [F.when(_parsed(f, keep_nan=True).isNull() & F.col(f"`{f.name}`").isNotNull(), F.lit(f.name)) for f in schema.fields]
+    return raw.withColumn("bad_columns", F.array_compact(F.array(*bad))).filter(F.size("bad_columns") > 0)
+
+
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    raw = spark.read.option("header", True).csv(path)
+    missing = set(schema.names) - set(raw.columns)
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    return raw.select(*[F.col(f"`{n}`") for n in schema.names])
+
+
+def _parsed(field: T.StructField, keep_nan: bool = False) -> Column:
+    text = F.trim(F.col(f"`{field.name}`"))
+    if isinstance(field.dataType, T.TimestampType):
+        return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT))
+    if isinstance(field.dataType, T.StringType):
+        return F.col(f"`{field.name}`")
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)) and not keep_nan:
+        return F.nanvl(value, F.lit(None).cast(field.dataType))
+    return value
 
 
 def read_matrix(spark: SparkSession, path: str, schema: T.StructType = HEADERLESS_MATRIX) -> DataFrame:

@@ -197,13 +197,14 @@ def test_two_failures_give_two_rows(spark):
     assert set(map(tuple, by_time.values())) == {("none",)}
 
 
-def test_undeclared_failure_and_text_nan(spark):
+def test_undeclared_failures_keep_their_name_and_are_counted(spark):
     from pyspark.sql import functions as F
 
     from fleetlens.functions.clean import label_or_none
 
     failures = spark.createDataFrame([(at(0), 1, "comp1"), (at(0), 2, "pump")], FAILURES)
-    assert {r.machineID: r.failure for r in plans.failure_features(failures).collect()} == {1: "comp1", 2: None}
+    assert {r.machineID: r.failure for r in plans.failure_features(failures).collect()} == {1: "comp1", 2: "pump"}
+    assert [tuple(r) for r in plans.undeclared(failures, "failure", ("comp1",)).collect()] == [("pump", 1)]
     rows = spark.createDataFrame([(None,), ("nan",), ("comp1",)], "failure string")
     assert [r[0] for r in rows.select(label_or_none()).collect()] == ["none", "none", "comp1"]
 

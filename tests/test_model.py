@@ -48,3 +48,18 @@ def test_forest_learns_and_reloads(spark, tmp_path):
     again = model.score(model.load_model(str(tmp_path / "m")), test.drop("failure"))
     assert [r[0] for r in again.orderBy(*MODEL_MATRIX).select("predicted_failure").collect()] == [
         r[0] for r in scored.orderBy(*MODEL_MATRIX).select("predicted_failure").collect()]
+
+
+def test_every_row_is_scored(spark):
+    train, test = splits.time_split(labeled(spark), FOLDS)
+    holes = test.withColumn("comp1", F.lit(None).cast("double")).withColumn(MODEL_MATRIX[0], F.lit(float("nan")))
+    forest = model.fit_forest(train.unionByName(holes.limit(5)), trees=3, max_depth=4)
+    scored = model.score(forest, holes)
+    assert scored.columns == [*holes.columns, "predicted_failure"]
+    assert scored.filter("predicted_failure IS NOT NULL").count() == holes.count()
+
+
+def test_model_from_elsewhere(spark):
+    rows = labeled(spark, 30).select("machineID", "volt" + "mean_3h", "age")
+    out = model.apply_model(rows, lambda x: (x["age"] > 50).map({True: "comp1", False: "none"}), ["voltmean_3h", "age"])
+    assert {r.predicted_failure for r in out.filter("age > 50").collect()} <= {"comp1"} and out.count() == 30

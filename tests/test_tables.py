@@ -53,7 +53,7 @@ def test_capture_records(spark, tmp_path):
         (folder / "p.json").write_text("\n".join(lines if hour == 1 else [record("d", "[[7,8]]", hour=2)]))
     read = capture.read_capture(spark, str(tmp_path))
     rows = capture.capture_features(read, 2).orderBy("inferenceId", "record").collect()
-    assert rows[0].__fields__ == ["inferenceId", "record", "feature0000000000", "feature0000000001", "prediction0"]
+    assert rows[0].__fields__ == ["inferenceId", "record", "feature0000000000", "feature0000000001", "prediction0", "more", "problem"]
     assert [tuple(r)[:4] for r in rows] == [("a", 0, 1, 2), ("a", 1, 3, 4), ("c", 0, 5, None), ("d", 0, 7, 8)]
     newest = capture.read_capture(spark, str(tmp_path), newest_hour_only=True)
     assert [r.eventMetadata.inferenceId for r in newest.collect()] == ["d"]
@@ -163,3 +163,44 @@ def test_capture_schema_reads_what_is_written(spark, tmp_path):
     capture.write_capture(rec, str(tmp_path / "cap"))
     back = capture.read_capture(spark, str(tmp_path / "cap")).first()
     assert back.hour == "2024-01-01-05" and back.captureData.endpointInput.data == "[[1.0]]"
+
+
+def test_csv_is_read_by_name_with_rejects(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from fleetlens.sources.files import csv_rejects, read_csv
+
+    (tmp_path / "x.csv").write_text("volt,machineID,datetime,more\nNaN,1,2015-01-01 06:00:00,z\n2.5,two,2015-01-01 07:00:00,z\n3.5,3,soon,z\n")
+    schema = T.StructType([T.StructField("datetime", T.TimestampType()), T.StructField("machineID", T.LongType()), T.StructField("volt", T.DoubleType())])
+    rows = read_csv(spark, f"{tmp_path}/x.csv", schema).collect()
+    assert [(r.machineID, r.volt, r.datetime is None) for r in rows] == [(1, None, False), (None, 2.5, False), (3, 3.5, True)]
+    assert [r.bad_columns for r in csv_rejects(spark, f"{tmp_path}/x.csv", schema).collect()] == [["machineID"], ["datetime"]]
+
+
+def test_requests_are_whole_and_none_is_lost(spark):
+    from pyspark.sql import functions as F
+
+    from fleetlens.functions.scalar import csv_request
+    from fleetlens.sources.capture import request_records
+    from fleetlens.streaming.jobs import parse_requests
+
+    lines = spark.createDataFrame([(x,) for x in ("[[1,2],[3,null]]", "[4,5]", "6,", ",7", "[[1,2", "1,x", "[[1,2,3]]", "8", "[]", "")], "value string")
+    got = {(r.value, r.a, r.b, r.problem) for r in parse_requests(lines, ["a", "b"]).collect()}
+    assert {(v, a, b) for v, a, b, p in got if p is None} == {
+        ("[[1,2],[3,null]]", 1, 2), ("[[1,2],[3,null]]", 3, None), ("[4,5]", 4, 5), ("6,", 6, None), (",7", None, 7)}
+    assert {v for v, _, _, p in got if p} == {"[[1,2", "1,x", "[[1,2,3]]", "8", "[]", ""}
+    row = spark.createDataFrame([(1.0, None, 3.0)], "a double, b double, c double")
+    assert row.select(csv_request(["a", "b", "c"])).first()[0] == "1.0,,3.0"
+    assert lines.filter("value = '[4,5]'").select(request_records(F.col("value"))).first()[0] == [[4.0, 5.0]]
+
+
+def test_missing_column_is_a_violation(spark):
+    from fleetlens.plans.monitor import drift_violations
+
+    base = spark.createDataFrame([(float(i), float(i)) for i in range(20)], "x double, y double")
+    from fleetlens.plans import monitor
+
+    bounds = monitor.value_bounds(base, ["x", "y"])
+    found = monitor.violations(monitor.baseline_statistics(base, ["x"], bounds), monitor.baseline_statistics(base, ["x", "y"], bounds)).collect()
+    assert [(r.feature, r.check) for r in found] == [("y", "missing_column_check")]
+    assert drift_violations(base, base, ["x", "y"]).count() == 0
