@@ -33,10 +33,11 @@ def _rolled(spark, sf_dir, mode, columns, what):
 
 def _final(spark, sf_dir, mode):
     data, spec = adapters.inputs(spark, sf_dir), adapters.spec(mode)
+    order = machine_order(data.telemetry, data.maint)
     return plans.final_features(
-        plans.telemetry_features(data.telemetry, spec),
-        plans.error_features(data.errors, data.telemetry, spec),
-        plans.maintenance_features(data.maint, data.telemetry, spec),
+        plans.telemetry_features(data.telemetry, spec, order),
+        plans.error_features(data.errors, data.telemetry, spec, order),
+        plans.maintenance_features(data.maint, data.telemetry, spec, order),
         data.machines,
     )
 

@@ -63,7 +63,7 @@ _DISTANCE = "greatest(" + ", ".join(
     for i in range(BUCKETS)) + ")"
 
 
-def _violations_sql(batch: str, baseline: str) -> str:
+def _violations_sql(batch: str, baseline: str, by: str = "") -> str:
     completeness = "{a}.present / ({a}.present + {a}.missing)"
     mine, base = completeness.format(a="p"), completeness.format(a="q")
     checks = (
@@ -71,7 +71,7 @@ def _violations_sql(batch: str, baseline: str) -> str:
         ("p.low < 0 AND q.low >= 0", "non_negative_check", "p.low", "0", "negative values where the baseline has none"),
         (f"{_DISTANCE} > 0.1", "baseline_drift_check", _DISTANCE, "0.1", "distance to the baseline distribution is above the limit"),
     )
-    return " UNION ALL ".join(f"""SELECT p.feature AS feature, '{name}' AS "check", {rnd(f'CAST({seen} AS DOUBLE)', 'observed')},
+    return " UNION ALL ".join(f"""SELECT {by}p.feature AS feature, '{name}' AS "check", {rnd(f'CAST({seen} AS DOUBLE)', 'observed')},
   {rnd(f'CAST({allowed} AS DOUBLE)', 'allowed')}, '{text}' AS description FROM {batch} p JOIN {baseline} q ON p.feature = q.feature
   WHERE {failed}""" for failed, name, seen, allowed, text in checks)
 
@@ -143,6 +143,31 @@ def stream_hourly_stats(spark, sf_dir):
     return jobs.read_hourly(spark, out)
 
 
+_CHANGED = """changed AS (SELECT date_trunc('hour', ts) AS hour, CASE WHEN event_id % 5 > 0 THEN value - 10 END AS value,
+CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events)"""
+
+
+@query("stream_drift", f"""WITH {_EVENTS}, {_CHANGED}, bounds AS ({_bounds_sql('numbered', EVENT_NUMBERS)}),
+base AS ({_profile_sql('numbered', 'bounds', EVENT_NUMBERS)}),
+hours AS ({_profile_sql('changed', 'bounds', EVENT_NUMBERS, by='hour, ')})
+{_violations_sql('hours', 'base', by='p.hour AS hour, ')}
+UNION ALL SELECT DISTINCT hour, 'user_id', 'missing_column_check', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), '{monitor.MISSING}' FROM hours""")
+def stream_drift(spark, sf_dir):
+    """Events with lower and missing values and without a column, hour by hour against all events."""
+    features = (*EVENT_NUMBERS, "user_id")
+    events = adapters.read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("double").alias("k")
+    whole = events.select("value", k, "user_id")
+    bounds = monitor.value_bounds(whole, features)
+    baseline = monitor.baseline_statistics(whole, features, bounds)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    value = F.when(F.col("event_id") % 5 > 0, F.col("value") - 10).alias("value")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet").select(F.col("ts").cast("timestamp").alias("ts"), value, k)
+    out = new_path(spark, "drift")
+    jobs.drift_stream(stream, baseline, bounds, out, new_path(spark, "drift-checkpoint")).awaitTermination()
+    return jobs.read_violations(spark, out)
+
+
 _INNER = """FROM (SELECT inferenceId, response, unnest(range(len(r))) AS record, r FROM
 (SELECT inferenceId, response, CAST(request AS JSON)::DOUBLE[][] AS r FROM requests WHERE inferenceId IS NOT NULL))"""
 _FEATURE_COLUMNS = ", ".join(rnd(f"r[record + 1][{i + 1}]", f"feature{i:010d}") for i in range(2))

@@ -10,6 +10,7 @@ from fleetlens.catalog.features import labeled
 from fleetlens.catalog.registry import query
 from fleetlens.catalog.sql import compose, rnd, rnds
 from fleetlens.functions.scalar import json_request
+from fleetlens.operators.sequence import machine_order
 from fleetlens.operators.summary import row_counts
 from fleetlens.plans import feature_table
 from fleetlens.plans import features as plans
@@ -122,10 +123,11 @@ UNION ALL SELECT 'preprocessed', count(*) FROM labeled_flat""", "tele_flat", "er
 def stage_outputs(spark, sf_dir):
     """The six stage tables, each written once; the last is joined from the written ones."""
     data, spec, out = adapters.inputs(spark, sf_dir), adapters.spec(), new_path(spark, "stages")
+    order = machine_order(data.telemetry, data.maint)
     paths = files.write_stages({
-        "telemetry": plans.telemetry_features(data.telemetry, spec),
-        "errors": plans.error_features(data.errors, data.telemetry, spec),
-        "maint": plans.maintenance_features(data.maint, data.telemetry, spec),
+        "telemetry": plans.telemetry_features(data.telemetry, spec, order),
+        "errors": plans.error_features(data.errors, data.telemetry, spec, order),
+        "maint": plans.maintenance_features(data.maint, data.telemetry, spec, order),
         "failures": plans.failure_features(data.failures),
         "machines": data.machines,
     }, out)

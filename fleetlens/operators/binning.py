@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.schemas import MEASURES
 
+BLOCK_BINS = 4096  # bins generated at a time
+
 
 def bin_index(ts: Column, seconds: int) -> Column:
     """Number of the bin ``[n * seconds, (n + 1) * seconds)`` since the epoch."""
@@ -57,7 +59,7 @@ def dense_grid(telemetry: DataFrame, seconds: int) -> DataFrame:
     """Every machine with every bin between the first and the last bin of the whole table.
 
     The table-wide bounds are one row, taken as scalar subqueries; the bins are generated per
-    machine, so nothing is joined.
+    machine, in blocks, so nothing is joined and no array spans the whole time.
     """
     index = bin_index(F.col("datetime"), seconds)
     per_machine = telemetry.groupBy("machineID").agg(
@@ -65,5 +67,10 @@ def dense_grid(telemetry: DataFrame, seconds: int) -> DataFrame:
     )
     low = per_machine.agg(F.min("low")).scalar()
     high = per_machine.agg(F.max("high")).scalar()
-    bins = per_machine.select("machineID", F.explode(F.sequence(low, high)).alias("bin"))
+    blocks = per_machine.select(
+        "machineID", low.alias("low"), high.alias("high"),
+        F.explode(F.sequence(F.floor(low / BLOCK_BINS), F.floor(high / BLOCK_BINS))).alias("block"))
+    start = F.col("block") * BLOCK_BINS
+    inside = F.sequence(F.greatest(F.col("low"), start), F.least(F.col("high"), start + BLOCK_BINS - 1))
+    bins = blocks.select("machineID", F.explode(inside).alias("bin"))
     return bins.select("machineID", bin_end(F.col("bin"), seconds).alias("datetime"))

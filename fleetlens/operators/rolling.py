@@ -35,33 +35,34 @@ def rolled_bins(
     A rolling value needs all its bins, so empty bins break the windows they fall in.
 
     On the grid of all bins a row's position is plain arithmetic. The windows are ranges over that
-    position, so empty bins need no rows. Slots are shuffled once, into chunks of consecutive
-    positions plus the few bins before each chunk; bins and windows are then built in place.
+    position, so empty bins need no rows. Slots are combined into bins before they are shuffled, so
+    the number of readings in a bin does not matter. Only bins go on into chunks of consecutive
+    positions plus the few bins before each chunk; windows are then built in place.
     """
-    index = bin_index(F.col("datetime"), spec.bin_seconds)
+    first = {c: F.sum(c) if c in counts and spec.error_statistic == "sum" else first_in_time(c)
+             for c in (*measures, *counts)}
+    index = F.col("_bin")
+    bins_of = slots.groupBy("machineID", bin_index(F.col("datetime"), spec.bin_seconds).alias("_bin"))
+    binned = bins_of.agg(
+        *[F.avg(m).alias(f"{m}mean_3h") for m in measures],
+        *[F.stddev_samp(m).alias(f"{m}sd_3h") for m in measures],
+        *[first[c].alias(c) for c in (*measures, *counts)],
+    ).withColumn("datetime", bin_end(index, spec.bin_seconds))
     if order is None:
-        placed = slots.withColumn("_pos", index)
+        placed = binned.withColumn("_pos", index)
         part = ["machineID", "_chunk"]
         size = spec.chunk_bins
     else:
         first_bin = order.grid_low // spec.bin_seconds
         bins = order.grid_high // spec.bin_seconds - first_bin + 1
-        placed = order.attach(slots, "rank").withColumn("_pos", F.col("rank") * bins + index - first_bin).drop("rank")
+        placed = order.attach(binned, "rank").withColumn("_pos", F.col("rank") * bins + index - first_bin).drop("rank")
         part = ["_chunk"]
         size = chunk_size(order.grid_machines * bins, spec.chunk_bins)
     n = spec.window_rows
-    chunked = copy_to_chunks(placed, "_pos", size, n - 1).withColumn("_bin", index).repartition(*part)
-
-    first = {c: F.sum(c) if c in counts and spec.error_statistic == "sum" else first_in_time(c)
-             for c in (*measures, *counts)}
-    binned = chunked.groupBy("_chunk", "machineID", "_pos", "_bin").agg(
-        *[F.avg(m).alias(f"{m}mean_3h") for m in measures],
-        *[F.stddev_samp(m).alias(f"{m}sd_3h") for m in measures],
-        *[first[c].alias(c) for c in (*measures, *counts)],
-    )
+    chunked = copy_to_chunks(placed, "_pos", size, n - 1)
 
     trailing = W.partitionBy(*part).orderBy("_pos").rangeBetween(-(n - 1), 0)
-    windowed = binned.select(
+    windowed = chunked.select(
         "*",
         F.count("_bin").over(trailing).alias("_n"),
         *[F.count(m).over(trailing).alias(f"_n_{m}") for m in measures],
@@ -74,8 +75,7 @@ def rolled_bins(
         return F.when(F.col(count) == n, F.col(value))
 
     rolled = windowed.select(
-        "machineID", "_chunk", "_pos",
-        bin_end(F.col("_bin"), spec.bin_seconds).alias("datetime"),
+        "machineID", "_chunk", "_pos", "datetime",
         *[f"{m}mean_3h" for m in measures],
         *[f"{m}sd_3h" for m in measures],
         *[if_full(f"_mean_{m}", f"_n_{m}").alias(f"{m}mean_24h") for m in measures],

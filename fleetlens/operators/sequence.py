@@ -8,7 +8,7 @@ border then needs only a small summary per chunk, or a few rows copied from the
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -58,6 +58,16 @@ def prefix_sums(df: DataFrame, key: str, totals: Sequence[str], rows: int, per_p
     )
 
 
+_PIECE = ("_before", "_rows", "_low", "_high")
+
+
+def _part(step: int) -> Column:
+    """Which part of its piece a row falls in, where a piece of too many rows is cut evenly over its time."""
+    parts = F.when(F.col("_rows") > step, F.ceil(2 * F.col("_rows") / step)).otherwise(1)
+    share = (F.unix_seconds("datetime") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
+    return F.floor(share * parts)
+
+
 @dataclass(frozen=True)
 class MachineOrder:
     """All machines in order, with what is needed to find a row's place in the whole sequence.
@@ -67,11 +77,14 @@ class MachineOrder:
     """
 
     table: DataFrame  # machineID, rank within the grid, rows, rows_before, low, high (seconds)
+    keys: DataFrame  # machineID, datetime of all rows
     machines: int
+    longest: int  # rows of the largest machine
     rows: int
     grid_machines: int
     grid_low: int
     grid_high: int
+    _levels: dict[int, list[tuple[DataFrame, int]]] = field(default_factory=dict, repr=False, compare=False)
 
     def attach(self, df: DataFrame, *columns: str) -> DataFrame:
         return lookup_join(
@@ -80,16 +93,48 @@ class MachineOrder:
         )
 
     def with_chunk(self, df: DataFrame, wanted_rows: int) -> DataFrame:
-        """Chunk number that grows with (machineID, datetime), about equally many rows in each.
+        """Chunk number that grows with (machineID, datetime); a chunk has less than twice the wanted rows.
 
-        A machine with a large share of the rows spans many chunks, cut evenly over its time span.
+        The sequence is first cut into pieces of at most the wanted rows, and a chunk is the pieces
+        that start in it. A machine is one piece unless it has more rows. Then it is cut evenly over
+        its time span, the rows of the parts are counted, and parts that still have too many rows are
+        cut again over their own span, so times far off do no harm. Only rows of one machine within
+        one second can't be cut. Jobs that count the parts run when the plan is built.
         """
         step = chunk_size(self.rows, wanted_rows)
-        seconds = F.unix_seconds("datetime")
-        share = (seconds - F.col("low")) / (F.col("high") - F.col("low") + 1)
-        place = F.col("rows_before") + share * F.col("rows")
-        placed = self.attach(df, "low", "high", "rows", "rows_before")
-        return placed.withColumn("_chunk", F.floor(place / step)).drop("low", "high", "rows", "rows_before")
+        if step not in self._levels:
+            self._levels[step] = self._cut(step)
+        placed = self._pieces(df, step, self._levels[step])
+        return placed.withColumn("_chunk", F.floor(F.col("_before") / step)).drop(*_PIECE)
+
+    def _pieces(self, df: DataFrame, step: int, levels: Sequence[tuple[DataFrame, int]]) -> DataFrame:
+        """Put the piece of each row beside it: its span, its rows and the rows before it."""
+        named = self.table.select(
+            "machineID", F.col("rows_before").alias("_before"), F.col("rows").alias("_rows"),
+            F.col("low").alias("_low"), F.col("high").alias("_high"))
+        placed = lookup_join(df, named, ["machineID"], spread_by=["datetime"], rows=self.machines)
+        for level, parts in levels:
+            whole = placed.withColumn("_part", _part(step)).withColumnRenamed("_before", "_whole")
+            found = lookup_join(whole.drop("_rows", "_low", "_high"), level, ["_whole", "_part"], ["datetime"], rows=parts)
+            placed = found.drop("_whole", "_part")
+        return placed
+
+    def _cut(self, step: int) -> list[tuple[DataFrame, int]]:
+        """Lookup tables, each of which leads from pieces and parts of them to smaller pieces."""
+        levels: list[tuple[DataFrame, int]] = []
+        longest = self.longest
+        while longest > step:
+            placed = self._pieces(self.keys, step, levels).withColumn("_part", _part(step))
+            seconds = F.unix_seconds("datetime")
+            counted = placed.groupBy(F.col("_before").alias("_whole"), "_part").agg(
+                F.count("*").alias("_rows"), F.min(seconds).alias("_low"), F.max(seconds).alias("_high"))
+            earlier = W.partitionBy("_whole").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+            before = F.col("_whole") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+            level = materialize(counted.withColumn("_before", before), "parts")
+            can_be_cut = F.when(F.col("_high") > F.col("_low"), F.col("_rows"))
+            parts, longest = level.agg(F.count("*"), F.coalesce(F.max(can_be_cut), F.lit(0))).first()
+            levels.append((level, parts))
+        return levels
 
     def chunks(self, wanted_rows: int) -> int:
         return self.rows // chunk_size(self.rows, wanted_rows) + 1
@@ -109,11 +154,11 @@ def machine_order(telemetry: DataFrame, *others: DataFrame) -> MachineOrder:
         "machines",
     )
     machines, *totals = extents.agg(
-        F.count("*"), F.sum("rows"), F.sum("in_grid"), F.min("grid_low"), F.max("grid_high")
+        F.count("*"), F.max("rows"), F.sum("rows"), F.sum("in_grid"), F.min("grid_low"), F.max("grid_high")
     ).first()
     table = prefix_sums(extents, "machineID", ["in_grid", "rows"], machines)
     table = table.withColumnRenamed("in_grid_before", "rank").drop("in_grid", "grid_low", "grid_high")
-    return MachineOrder(table, machines, *[t or 0 for t in totals])
+    return MachineOrder(table, keys.select("machineID", "datetime"), machines, *[t or 0 for t in totals])
 
 
 def copy_to_chunks(df: DataFrame, position: str, size: int, reach: int) -> DataFrame:

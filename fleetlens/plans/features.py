@@ -63,9 +63,11 @@ def _finish_rolled(rolled: DataFrame, spec: FeatureSpec) -> DataFrame:
     return drop_incomplete(rolled, _SENSOR)
 
 
-def telemetry_features(telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+def telemetry_features(
+    telemetry: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
+) -> DataFrame:
     """Mean and sd per bin and over the trailing bins, 16 columns per machine and bin."""
-    rolled = rolled_bins(dedupe_mean(telemetry), spec, _order_for(spec, telemetry, None), MEASURES)
+    rolled = rolled_bins(dedupe_mean(telemetry), spec, _order_for(spec, telemetry, order), MEASURES)
     return _finish_rolled(rolled, spec).select(*TELEMETRY_FEATURES)
 
 
@@ -75,9 +77,11 @@ def error_slots(errors: DataFrame, telemetry: DataFrame) -> DataFrame:
     return join_spine_errors(spine, code_counts(errors, "errorID", ERROR_CODES))
 
 
-def error_features(errors: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+def error_features(
+    errors: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
+) -> DataFrame:
     """Rolling sums of error counts, 5 columns per machine and bin."""
-    order = _order_for(spec, telemetry, None)
+    order = _order_for(spec, telemetry, order)
     rolled = rolled_bins(error_slots(errors, telemetry), spec, order, counts=ERROR_CODES)
     return drop_incomplete(rolled, ERROR_COUNTS).select(*ERROR_FEATURES)
 
@@ -134,13 +138,15 @@ def replacement_days(
     return kept.select("datetime", "machineID", *days, "copies")
 
 
-def maintenance_features(maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT) -> DataFrame:
+def maintenance_features(
+    maint: DataFrame, telemetry: DataFrame, spec: FeatureSpec = DEFAULT, order: MachineOrder | None = None
+) -> DataFrame:
     """Days since replacement for every telemetry row and every replacement.
 
     Flat mode keeps one row per telemetry reading, also where readings repeat a machine and time;
     keyed mode keeps one row per machine and time.
     """
-    days = replacement_days(maint, telemetry, spec)
+    days = replacement_days(maint, telemetry, spec, order)
     if spec.mode == FLAT:
         days = repeat_rows(days, "copies")
     return days.select(*MAINTENANCE_FEATURES)
@@ -167,11 +173,15 @@ def final_features(
 def label_rows(final: DataFrame, failures: DataFrame, spec: FeatureSpec = DEFAULT, backfill_rows: int = 0) -> DataFrame:
     """Join failures to the rows at exactly their time; several failures give several rows.
 
-    Equal failures are counted before the join and written out after it. With ``backfill_rows`` a
-    row also takes the first failure among that many rows after it.
+    Equal failures are counted before the join and written out after it, together with the
+    ``copies`` that a row of ``final`` may stand for. With ``backfill_rows`` a row also takes the
+    first failure among that many rows after it.
     """
     counted = failures.groupBy(*KEYS, "failure").agg(F.count("*").alias("_times"))
-    labeled = repeat_rows(final.join(counted, list(KEYS), "left").na.fill(1, ["_times"]), "_times")
+    joined = final.join(counted, list(KEYS), "left").na.fill(1, ["_times"])
+    if "copies" in final.columns:
+        joined = joined.withColumn("_times", F.col("_times") * F.col("copies")).drop("copies")
+    labeled = repeat_rows(joined, "_times")
     if backfill_rows:
         labeled = backfill_labels(labeled, spec, backfill_rows)
     return labeled.withColumn("failure", label_or_none()).select(*LABELED_FEATURES)
@@ -225,7 +235,6 @@ def labeled_features(
     at_end = at_bin_edge(F.col("datetime"), spec.bin_seconds)
     days = replacement_days(maint, telemetry.filter(at_end), spec, order).filter(at_end)
     joined = sensors.join(days, list(KEYS), "left")
-    if spec.mode == FLAT:
-        joined = repeat_rows(joined.na.fill(1, ["copies"]), "copies")
-    final = lookup_join(joined, machines, ["machineID"], spread_by=["datetime"])
-    return label_rows(final.select(*FINAL_FEATURES), failure_features(failures), spec, backfill_rows)
+    final = lookup_join(joined.na.fill(1, ["copies"]), machines, ["machineID"], spread_by=["datetime"])
+    copies = ["copies"] if spec.mode == FLAT else []
+    return label_rows(final.select(*FINAL_FEATURES, *copies), failure_features(failures), spec, backfill_rows)

@@ -232,6 +232,22 @@ def test_number_rows_over_chunks_with_a_hot_machine(spark):
     assert sorted((r.machineID, r.datetime, r.position) for r in out) == [(*p, i) for i, p in enumerate(sorted(places))]
 
 
+def test_chunks_hold_even_with_a_wrong_clock(spark):
+    """A reading far off in time and a dense hour leave no chunk with twice the wanted rows."""
+    base = datetime(2015, 1, 1)
+    times = [datetime(1970, 1, 1), *[base + timedelta(seconds=i) for i in range(3000)],
+             *[base + timedelta(days=i) for i in range(1, 500)]]
+    rows = [(1, base + timedelta(hours=i)) for i in range(40)] + [(2, t) for t in times] + [(3, base)]
+    df = spark.createDataFrame(rows, "machineID long, datetime timestamp")
+    order = sequence.machine_order(df)
+    chunked = order.with_chunk(df, 50).collect()
+    assert len(chunked) == len(rows)
+    sizes = Counter(r["_chunk"] for r in chunked)
+    assert max(sizes.values()) < 100 and max(sizes) < order.chunks(50)
+    in_order = [r["_chunk"] for r in sorted(chunked, key=lambda r: (r["machineID"], r["datetime"]))]
+    assert in_order == sorted(in_order)
+
+
 @pytest.mark.parametrize("limit", (2, 1000))
 def test_lookup_join_both_ways(spark, limit, monkeypatch):
     """Below the limit a broadcast, above it a salted shuffle join: same rows."""
