@@ -69,7 +69,7 @@ def _violations_sql(batch: str, baseline: str, by: str = "") -> str:
     checks = (
         (f"{mine} < {base}", "completeness_check", mine, base, "share of present values is below the baseline"),
         ("p.low < 0 AND q.low >= 0", "non_negative_check", "p.low", "0", "negative values where the baseline has none"),
-        (f"{_DISTANCE} > 0.1", "baseline_drift_check", _DISTANCE, "0.1", "distance to the baseline distribution is above the limit"),
+        (f"p.present > 0 AND {_DISTANCE} > 0.1", "baseline_drift_check", _DISTANCE, "0.1", "distance to the baseline distribution is above the limit"),
     )
     return " UNION ALL ".join(f"""SELECT {by}p.feature AS feature, '{name}' AS "check", {rnd(f'CAST({seen} AS DOUBLE)', 'observed')},
   {rnd(f'CAST({allowed} AS DOUBLE)', 'allowed')}, '{text}' AS description FROM {batch} p JOIN {baseline} q ON p.feature = q.feature

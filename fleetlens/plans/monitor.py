@@ -26,49 +26,46 @@ def value_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float
     return {c: (row[f"low_{i}"], row[f"high_{i}"]) for i, c in enumerate(columns) if row[f"low_{i}"] is not None}
 
 
-def _bucket(value: Column, bounds: tuple[float, float] | None) -> Column:
-    """Bucket of a value; values outside the bounds fall in the first or the last."""
-    if bounds is None or bounds[0] == bounds[1]:
-        return F.when(value.isNotNull(), F.lit(0))
-    low, high = (F.lit(float(b)) for b in bounds)
-    place = F.floor((value - low) * BUCKETS / (high - low))
-    return F.when(value.isNotNull(), F.least(F.lit(BUCKETS - 1), F.greatest(F.lit(0), place)))
-
-
-def _statistics(value: Column, bounds: tuple[float, float] | None) -> Column:
-    bucket = _bucket(value, bounds)
-    return F.struct(
-        F.count(value).alias("present"),
-        F.count_if(value.isNull()).alias("missing"),
-        F.avg(value).alias("mean"),
-        F.sum(value).alias("total"),
-        F.stddev_samp(value).alias("sd"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        *[F.count_if(bucket == i).alias(name) for i, name in enumerate(BUCKET_COLUMNS)],
+def _lookup(values: Mapping[str, float | str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("feature")]
+
+
+def _bucket(bounds: Bounds) -> Column:
+    low = _lookup({c: b[0] for c, b in bounds.items()})
+    high = _lookup({c: b[1] for c, b in bounds.items()})
+    place = F.floor(F.try_divide((F.col("value") - low) * BUCKETS, high - low))
+    return F.when(F.col("value").isNotNull(), F.least(F.lit(BUCKETS - 1), F.greatest(F.lit(0), F.coalesce(place, F.lit(0)))))
+
+
+def long_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per record and feature. The rows are aggregated before they are shuffled."""
+    doubles = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    return doubles.unpivot(list(keep), list(columns), "feature", "value")
+
+
+def profile(long: DataFrame, bounds: Bounds, by: Sequence[Column | str] = ()) -> DataFrame:
+    """Statistics and histogram per feature, and per value of ``by`` if given."""
+    placed = long.withColumn("_bucket", _bucket(bounds))
+    return placed.groupBy(*by, "feature").agg(
+        F.count("value").alias("present"),
+        F.count_if(F.col("value").isNull()).alias("missing"),
+        F.avg("value").alias("mean"),
+        F.sum("value").alias("total"),
+        F.stddev_samp("value").alias("sd"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        *[F.count_if(F.col("_bucket") == i).alias(name) for i, name in enumerate(BUCKET_COLUMNS)],
     )
 
 
-def profile(df: DataFrame, columns: Sequence[str], bounds: Bounds, by: Sequence[Column] = ()) -> DataFrame:
-    """Statistics and histogram per feature, and per value of ``by`` if given.
-
-    All features are aggregated side by side in one row (per ``by``), which is turned into a row per
-    feature afterwards. The input is never multiplied by the number of features.
-    """
-    wide = df.groupBy(*by).agg(*[_statistics(F.col(c).cast("double"), bounds.get(c)).alias(c) for c in columns])
-    kept = [c for c in wide.columns if c not in columns]
-    return wide.unpivot(kept, list(columns), "feature", "_s").select(*kept, "feature", "_s.*")
-
-
 def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: feature_type(df.schema[c].dataType) for c in columns}
 
 
 def baseline_statistics(df: DataFrame, columns: Sequence[str], bounds: Bounds | None = None) -> DataFrame:
     bounds = bounds or value_bounds(df, columns)
-    stats = profile(df, columns, bounds)
-    kind = F.create_map(*[F.lit(x) for pair in inferred_types(df, columns).items() for x in pair])[F.col("feature")]
-    return stats.select("feature", kind.alias("inferred_type"), *stats.columns[1:])
+    stats = profile(long_features(df, columns), bounds)
+    return stats.select("feature", _lookup(inferred_types(df, columns)).alias("inferred_type"), *stats.columns[1:])
 
 
 def baseline_constraints(statistics: DataFrame) -> DataFrame:
@@ -142,7 +139,7 @@ def drift_violations(
 
 def hourly_profile(df: DataFrame, columns: Sequence[str], bounds: Bounds, ts: str = "ts") -> DataFrame:
     """Profile per hour and feature; also works on a stream with a watermark on ``ts``."""
-    stats = profile(df, columns, bounds, by=[F.window(ts, "1 hour").alias("_hour")])
+    stats = profile(long_features(df, columns, keep=[ts]), bounds, by=[F.window(ts, "1 hour").alias("_hour")])
     return stats.select(F.col("_hour.start").alias("hour"), *stats.columns[1:])
 
 
@@ -155,7 +152,10 @@ def hourly_drift(df: DataFrame, baseline: DataFrame, columns: Sequence[str], bou
 def hourly_violations(
     hours: DataFrame, baseline: DataFrame, absent: Sequence[str] = (), drift_limit: float = 0.1
 ) -> DataFrame:
-    """Failed checks of each hour; every hour also reports the features that are ``absent`` from the input."""
+    """Failed checks of each hour; every hour also reports the features that are ``absent`` from the input.
+
+    A feature without a value in an hour fails the completeness check; it has no distance to the baseline.
+    """
     found = violations(hours, baseline, drift_limit, by=["hour"])
     if not absent:
         return found
