@@ -20,7 +20,7 @@ from fleetlens.plans.monitor import (
     statistics_report,
 )
 from fleetlens.plans.splits import model_matrix
-from fleetlens.schemas import CAPTURE, MEASURES, MODEL_MATRIX, TELEMETRY
+from fleetlens.schemas import CAPTURE, COMPONENTS, MEASURES, MODEL_MATRIX, TELEMETRY
 from fleetlens.session import new_path
 from fleetlens.sources import capture, files
 
@@ -159,17 +159,16 @@ def _with_history(body: str) -> str:
     return compose(f", {_HISTORY} {body}", "machines")
 
 
-@query("fs_definitions", compose("""SELECT name, type FROM (SELECT DISTINCT unnest(['datetime', 'machineID',
-'comp1', 'comp2', 'comp3', 'comp4']) AS name,
-unnest(['String', 'Integral', 'Fractional', 'Fractional', 'Fractional', 'Fractional']) AS type FROM maint)""", "maint"))
+_DEFINITIONS = {"datetime": "String", "machineID": "Integral", **dict.fromkeys(COMPONENTS, "Fractional")}
+
+
+@query("fs_definitions", compose("\nUNION ALL ".join(
+    f"SELECT '{n}' AS name, '{kind}' AS type, count({n}) AS non_null FROM maint_flat" for n, kind in _DEFINITIONS.items()), "maint_flat"))
 def fs_definitions(spark, sf_dir):
-    """Names and types of the maintenance features, as found in every written record."""
+    """Names and types of the written maintenance features, with the number of values of each."""
     data, path = adapters.inputs(spark, sf_dir), new_path(spark, "maint-features")
-    days = plans.maintenance_features(data.maint, data.telemetry, adapters.spec())
-    days.write.parquet(path)
-    written = spark.read.parquet(path)
-    names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in feature_table.feature_definitions(written)])
-    return written.select(F.inline(names)).distinct()
+    plans.maintenance_features(data.maint, data.telemetry, adapters.spec()).write.parquet(path)
+    return feature_table.definition_rows(spark.read.parquet(path))
 
 
 @query("fs_offline_append", _with_history(

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.operators.summary import column_info
+
 _DECLARED = {int: T.LongType(), float: T.DoubleType(), str: T.StringType()}
 
 
@@ -30,6 +32,12 @@ def feature_definitions(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, feature_type(f.dataType)) for f in df.schema.fields]
 
 
+def definition_rows(df: DataFrame) -> DataFrame:
+    """Rows (name, type, non_null): each feature with its type and its number of values, counted in one pass."""
+    kind = F.create_map(*[F.lit(x) for pair in feature_definitions(df) for x in pair])[F.col("column")]
+    return column_info(df).select(F.col("column").alias("name"), kind.alias("type"), "non_null")
+
+
 def check_definitions(df: DataFrame, definitions: list[tuple[str, str]]) -> None:
     found = feature_definitions(df)
     if found != definitions:
