@@ -1,12 +1,14 @@
 """Scoring by prediction by partial matching (PPM) over bytes, with a unigram word model as a base.
 
 The model is a trie of byte contexts. Spark counts all strings of ``ORDER + 1`` bytes of the training
-texts and derives the shorter ones from them level by level; strings seen too rarely are cut so that at
-most ``MAX_STRINGS`` remain, which bounds what is sent to the executors. A byte is predicted in the
-longest context that the trie holds. If the context has not seen the byte, an escape is coded and the
-next shorter context is asked, without the symbols that the longer one has already excluded. The escape
-gets what ``DISCOUNT`` per seen symbol and all cut strings leave. Below the empty context every byte not
-excluded is as likely.
+texts and derives the shorter ones from them level by level. A byte is predicted in the longest context
+that was seen. If the context has not seen the byte, an escape is coded and the next shorter context is
+asked, without the symbols that the longer one has already excluded. The escape gets what ``DISCOUNT``
+per seen symbol leaves. Below the empty context every byte not excluded is as likely.
+
+Strings go to the executors as a trie of the most frequent, at most ``MAX_STRINGS``. It is exact for the
+longest strings it holds. If it doesn't hold all, the distinct other strings of the scored texts are
+resolved by joins with the whole tables of strings and contexts, so no string is cut from the model.
 
 Scoring works on the distinct strings of a batch, all at once, and adds up per text.
 
@@ -143,10 +145,20 @@ class PpmModel:
     train_tokens: int
     vocabulary: int
     ends: int  # training texts: the count of the end token
+    whole: bool = True  # whether no string was left out of the levels
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.train_tokens + self.vocabulary + 1))
 
+    def holds(self, strings: np.ndarray) -> np.ndarray:
+        """Whether ``log_chance`` of each string is that of the model without cuts."""
+        if self.whole:
+            return np.ones(len(strings), bool)
+        own = self.levels[self.order].strings
+        if not len(own):
+            return np.zeros(len(strings), bool)
+        return own[np.minimum(np.searchsorted(own, strings), len(own) - 1)] == strings
+
     def log_chance(self, strings: np.ndarray) -> np.ndarray:
         """log10 of the chance of the last byte of each string, given the bytes before it."""
         out, left = np.zeros(len(strings)), np.arange(len(strings))
@@ -207,23 +219,30 @@ def build_levels(order: int, strings: list[np.ndarray], counts: list[np.ndarray]
 
 
 def fit_ppm(training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRINGS, top_words: int = TOP_WORDS, text: str = "text") -> tuple[PpmModel, DataFrame]:
-    """The model, and the table (word, n) of all training words, which grows with the corpus."""
+    """The model as it is sent to executors, and the table (word, n) of all training words, which grows with the corpus."""
+    return fit_tables(training, order, max_strings, top_words, text)[:2]
+
+
+def fit_tables(
+    training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRINGS, top_words: int = TOP_WORDS, text: str = "text"
+) -> tuple[PpmModel, DataFrame, list[DataFrame], DataFrame]:
+    """As ``fit_ppm``, and the whole tables (key, n) of strings by order and (k, context, total, symbols) of contexts."""
     bounded_batches(training.sparkSession)
     texts = training.select(F.col(text).alias("text"))
     counts = keep(texts.mapInArrow(counted_rows(order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     words = counts.filter("kind = 1").select(F.col("key").alias("word"), "n")
-    level, stacked = counts.filter("kind = 0").select("key", "n"), None
+    level, stacked, strings = counts.filter("kind = 0").select("key", "n"), None, [None] * (order + 1)
     for k in range(order, -1, -1):
         if k < order:
             level = level.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        level = keep(level, f"strings-{k}")
+        strings[k] = level = keep(level, f"strings-{k}")
         named = level.select(F.lit(k).alias("k"), "key", "n")
         stacked = named if stacked is None else stacked.unionByName(named)
     least = smallest_kept(stacked, max_strings)
     whole = keep(stacked.groupBy("k", F.shiftrightunsigned("key", 8).alias("context")).agg(
-        F.sum("n").alias("total"), F.max("n").alias("most")).filter(F.col("most") >= least), "contexts")
+        F.sum("n").alias("total"), F.count("*").alias("symbols"), F.max("n").alias("most")), "contexts")
     kept = stacked.filter(F.col("n") >= least).select("k", "key", "n").toArrow()  # bounded by max_strings
-    tops = whole.select("k", F.col("context").alias("key"), F.col("total").alias("n")).toArrow()
+    tops = whole.filter(F.col("most") >= least).select("k", F.col("context").alias("key"), F.col("total").alias("n")).toArrow()
 
     def by_level(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
         k, key, n = (table.column(c).to_numpy() for c in ("k", "key", "n"))
@@ -243,7 +262,58 @@ def fit_ppm(training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRI
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = texts.count()
     # the end is a token of the vocabulary if there is a text to end
-    return PpmModel(order, levels, floor, word[rising], top.column("n").to_numpy()[rising], totals.n + ends, totals.v + (ends > 0), ends), words
+    model = PpmModel(
+        order, levels, floor, word[rising], top.column("n").to_numpy()[rising], totals.n + ends, totals.v + (ends > 0), ends,
+        whole=stacked.filter(F.col("n") < least).isEmpty())
+    return model, words, strings, whole
+
+
+def joined_chances(asked: DataFrame, strings: list[DataFrame], contexts: DataFrame) -> DataFrame:
+    """(key, chance) of distinct strings ``asked``: log10 of the chance of the last byte, from the whole tables.
+
+    From the longest order down, strings that are found leave and the others take the escape of their
+    context. Tables of fewer than 1 << 17 possible rows are sent to the tasks.
+    """
+    none = F.lit(None).cast("double")
+    rows, out = asked.select("key", F.lit(0.0).alias("chance"), none.alias("log_n"), none.alias("escape")), None
+
+    def lowest(column: str, size: int) -> Column:  # so many bytes of a number
+        return F.col(column).bitwiseAND(F.lit((1 << 8 * size) - 1)) if size < 8 else F.col(column)
+
+    def of_order(k: int) -> DataFrame:
+        mine = contexts.filter(F.col("k") == k).select("context", "total", "symbols")
+        return F.broadcast(mine) if k < 3 else mine
+
+    def string_table(k: int, n: str) -> DataFrame:
+        mine = strings[k].select(F.col("key").alias("own"), F.col("n").alias(n))
+        return F.broadcast(mine) if k < 2 else mine
+
+    for k in range(len(strings) - 1, -1, -1):
+        rows = rows.withColumn("own", lowest("key", k + 1)).join(string_table(k, "n"), "own", "left")
+        rows = rows.withColumn("context", F.shiftrightunsigned("own", 8)).join(of_order(k), "context", "left")
+        has = F.log10(F.col("n") - DISCOUNT) - F.coalesce("log_n", F.log10("total"))
+        leave = F.coalesce("escape", F.log10(DISCOUNT * F.col("symbols") / F.col("total")), F.lit(0.0))
+        seen = F.col("n").isNotNull()
+        rows = keep(rows.select(
+            "key", (F.col("chance") + F.when(seen, has).otherwise(leave)).alias("chance"), seen.alias("seen"),
+            *[F.when(~seen, F.col(c)).alias(c) for c in ("context", "symbols")]), f"asked-{k}")
+        found = rows.filter("seen").select("key", "chance")
+        out = found if out is None else out.unionByName(found)
+        rows = rows.filter("NOT seen").drop("seen")
+        if not k:
+            break
+        left = rows.filter("symbols IS NOT NULL").select("context", "symbols").distinct()
+        inside = strings[k].select(F.shiftrightunsigned("key", 8).alias("context"), lowest("key", k).alias("own")).join(left, "context")
+        excluded = inside.join(string_table(k - 1, "m"), "own").groupBy("context", "symbols").agg(F.sum("m").alias("excluded"))
+        shorter = of_order(k - 1).select(F.col("context").alias("short"), F.col("total"), F.col("symbols").alias("all"))
+        rest = F.col("total") - F.col("excluded")
+        # the shorter context without this one's symbols; with none left nothing is found there and no escape is coded
+        after = excluded.withColumn("short", lowest("context", k - 1)).join(F.broadcast(shorter) if k < 4 else shorter, "short").select(
+            "context", F.when(rest > 0, F.log10(rest)).otherwise(F.lit(0.0)).alias("log_n"),
+            F.when(rest > 0, F.log10(DISCOUNT * (F.col("all") - F.col("symbols")) / rest)).otherwise(F.lit(0.0)).alias("escape"))
+        rows = rows.drop("symbols").join(after, "context", "left").drop("context")
+    floor = float(np.log10(1 / max(257 - strings[0].count(), 1)))
+    return out.unionByName(rows.select("key", (F.col("chance") + floor).alias("chance")))
 
 
 def smallest_kept(counted: DataFrame, most: int) -> int:
@@ -266,7 +336,15 @@ def scored_rows(model: PpmModel):
                 words = split_words(data, offsets, lower=True)
                 coded, bounds = coded_bytes(words)
                 unique, place = np.unique(strings_at(coded, bounds, model.order), return_inverse=True)
-                score = np.add.reduceat(model.log_chance(unique)[place], bounds[:-1])
+                held = model.holds(unique)
+                chance = np.zeros(len(unique))
+                chance[held] = model.log_chance(unique[held])
+                score = np.add.reduceat(chance[place], bounds[:-1])
+                at_byte = np.flatnonzero(~held[place])
+                text = np.searchsorted(bounds, at_byte, "right") - 1
+                # a string that a text asks for many times is sent once
+                asked, times = np.unique(text * len(unique) + place[at_byte], return_counts=True)
+                ask_at = pa.array(np.searchsorted(asked, np.arange(len(bounds)) * len(unique)).astype(np.int32))
                 counts = np.zeros(len(words.hashes), np.int64)
                 if len(model.words):
                     at = np.minimum(np.searchsorted(model.words, words.hashes), len(model.words) - 1)
@@ -280,8 +358,10 @@ def scored_rows(model: PpmModel):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(words.counts + 1), pa.array(totals[words.bounds[1:]] - totals[words.bounds[:-1]] + ends_known),
                      pa.array(sums[words.bounds[1:]] - sums[words.bounds[:-1]] + float(model.base(np.array(model.ends)))), pa.array(score),
-                     pa.ListArray.from_arrays(pa.array(places), pa.array(signed(rare)))],
-                    names=["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                     pa.ListArray.from_arrays(pa.array(places), pa.array(signed(rare))),
+                     pa.ListArray.from_arrays(ask_at, pa.array(signed(unique[asked % max(len(unique), 1)]))),
+                     pa.ListArray.from_arrays(ask_at, pa.array(times.astype(np.int32)))],
+                    names=["doc_id", "n_tokens", "n_known", "base_score", "score", "rare", "asked", "times"])
 
     return run
 
@@ -295,13 +375,13 @@ def lm_scores(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text
     Nothing to learn from: every byte is as likely and no token is known. Repeated rows give repeated
     rows. Extra columns are ignored.
     """
-    model, words = fit_ppm(training, text=text, **parameters)
+    model, words, strings, contexts = fit_tables(training, text=text, **parameters)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_strings and top_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from scored_rows(sent.value)(batches)
 
-    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>"
+    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>, asked array<long>, times array<int>"
     scored = documents(docs, doc_id, text).mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id())
     scored = keep(scored, "scored")  # row numbers are settled by writing them
     rare = scored.select("_row", F.explode("rare").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("times"))
@@ -309,10 +389,17 @@ def lm_scores(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text
     n = F.coalesce("n", F.lit(0))
     rest = rare.join(words, "word", "left").groupBy("_row").agg(
         F.sum(F.col("times") * F.log10((n + 1) / F.lit(whole))).alias("rest"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("found"))
-    return scored.drop("rare").join(rest, "_row", "left").select(
+    joined = scored.drop("rare", "asked", "times").join(rest, "_row", "left")
+    score = F.col("score")
+    if not model.whole:
+        asked = scored.select("_row", F.explode(F.arrays_zip("asked", "times")).alias("a")).select("_row", F.col("a.asked").alias("key"), F.col("a.times").alias("times"))
+        chances = joined_chances(scored.select(F.explode("asked").alias("key")).distinct(), strings, contexts)
+        sums = asked.join(chances, "key").groupBy("_row").agg(F.sum(F.col("times") * F.col("chance")).alias("more"))
+        joined, score = joined.join(sums, "_row", "left"), score + F.coalesce("more", F.lit(0.0))
+    return joined.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), score.alias("score"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

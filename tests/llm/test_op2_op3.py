@@ -134,6 +134,19 @@ def test_rare_words_are_joined_and_strings_are_cut(spark):
     assert all(math.isfinite(r.score) and r.score < 0 for r in cut)
 
 
+@pytest.mark.parametrize("order", [2, 5, 7])
+@pytest.mark.parametrize("max_strings", [0, 20])
+def test_strings_beyond_the_broadcast_are_joined(spark, order, max_strings):
+    train = ["the cat sat on the mat", "The dog  sat\ton the log", None, "a cat", "été à la mer", "the cat sat on the mat"]
+    rows = train + ["the cat ate", "", "zebra 中", "the cat ate the end", "the cat ate"]
+    df = spark.createDataFrame([(i, t, "z", "p", "q") for i, t in enumerate(rows)], DOC_SCHEMA)
+    got = {r.doc_id: r.score for r in op3.lm_scores(df, df.filter(F.col("doc_id") < len(train)), order=order, max_strings=max_strings).collect()}
+    model = Brute(train, order)
+    assert len(got) == len(rows)
+    for i, t in enumerate(rows):
+        assert math.isclose(got[i], model.text(t), rel_tol=1e-9)
+
+
 def test_cut_chances_sum_to_at_most_one(spark):
     df = spark.createDataFrame([(i, f"abc abd {chr(97 + i % 5)}x", "z", "p", "q") for i in range(60)], DOC_SCHEMA)
     model, _ = op3.fit_ppm(df, order=3, max_strings=30)
