@@ -36,14 +36,20 @@ WIDTH, PENALTY = 1 << 13, 0.3
 INLINE = frozenset((
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "input", "ins",
     "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-    "var", "wbr"))
+    "var", "wbr",
+    # of formulas
+    "math", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom",
+    "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder",
+    "munderover", "none", "semantics"))
 VOID = frozenset((
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 RAW_TEXT = frozenset(("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp"))
-NO_TEXT = frozenset(("audio", "button", "canvas", "datalist", "math", "object", "select", "svg", "template", "video"))
+NO_TEXT = frozenset(("annotation", "annotation-xml", "audio", "button", "canvas", "datalist", "object", "select", "svg", "template", "video"))
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_TAG_END = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
+#: Attributes up to the end of a tag. A quote opens a value right after "=" and where it is closed later; elsewhere it is a character.
+_TAG_END = re.compile(
+    r"""(?:[ \t\n\f\r/]+|(?:=[^ \t\n\f\r/>=]*|[^ \t\n\f\r/>=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r>]*))?)*+>""")
 _TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")

@@ -131,6 +131,10 @@ def test_blocks_of_odd_markup():
             "<a href='>'>link</a><!-- <p>no --><ul><li>one<li>two</ul>tail &lt;3 < 4<select><option>no</select><div>deep<div>er</div>out</div></p><p>last <a href=\"")
     assert [t for t, _, _ in op9.blocks(page)] == ["A & B c d", "two bold link", "one", "two", "tail <3 < 4", "deep", "er", "out", "last"]
     assert [len(op9.blocks(x)) for x in ("", "plain", "<p>", "<", "</", "<!--", "<script>x", "<p>a<script>b</script>c")] == [0, 1, 0, 1, 0, 0, 0, 1]
+    for tag in ("<p title=\"5\" tall\">", "<p data-x=it's>", "<p title=\"5>", "<p a='1\">", "<p =\">", "<p a = \"x>y\" b=c'd>", "<p a=x=\">"):
+        assert [t for t, _, _ in op9.blocks(f"<div>one</div>{tag}First part</p><p>last")] == ["one", "First part", "last"], tag
+    assert [t for t, _, _ in op9.blocks('<p title="5" tall">First</p><p class="x">next</p>')] == ["First", "next"]
+    assert [t for t, _, _ in op9.blocks("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>")] == ["so x=2 holds"]
     assert len(op9.blocks("<div>" * 20000 + "x")) == 1 and len(op9.blocks("<a \"" * 20000)) == 0
 
 
