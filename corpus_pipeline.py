@@ -58,15 +58,21 @@ def _with_texts(part: pa.RecordBatch, texts: Sequence[str | None]) -> pa.RecordB
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without a letter go. The model is learned from the documents given."""
+    """Documents whose language can be told: those without a letter go, and no others, also if no language was learned.
+
+    The model is learned from the documents given.
+    """
     bounded_batches(spark)
     sent = spark.sparkContext.broadcast(op2.learned(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in pieces(batch, size=op2.PIECE):
-                lang, _, _ = op2.predictions(sent.value, data, offsets)
-                yield part.filter(pa.array([x != "und" for x in lang]))
+                if sent.value.languages:
+                    stay = [x != "und" for x in op2.predictions(sent.value, data, offsets)[0]]
+                else:
+                    stay = op2.lettered(sent.value, data, offsets)[2]
+                yield part.filter(pa.array(stay))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -166,12 +166,17 @@ def phrase_counts(model: LanguageModel, symbols: np.ndarray, bounds: np.ndarray)
     return np.stack([np.bincount(owner, p, len(counts)) for p in phrases], 1) if len(phrases) else np.zeros((len(counts), 0))
 
 
-def predictions(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and least cost of each text of a piece."""
+def lettered(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of a piece, the bounds of its texts in them, and whether each text has a letter."""
     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
     symbols, bounds = collapse(model.fold[code_points(data.tobytes().decode("utf-8"))], lead[offsets])
     letters = np.concatenate([[0], np.cumsum(symbols != 0)])
-    has = letters[bounds[1:]] > letters[bounds[:-1]]
+    return symbols, bounds, letters[bounds[1:]] > letters[bounds[:-1]]
+
+
+def predictions(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and least cost of each text of a piece."""
+    symbols, bounds, has = lettered(model, data, offsets)
     if not model.languages:
         return ["und"] * len(has), np.zeros(len(has)), np.zeros(len(has))
     cost = phrase_counts(model, symbols, bounds) * model.bits / np.maximum(np.diff(bounds), 1)[:, None]

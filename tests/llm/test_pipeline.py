@@ -32,6 +32,11 @@ def test_language_stage_keeps_all_with_letters(spark):
     assert out.schema == df.schema and texts(out) == Counter((i, t) for i, t, _, _ in rows if re.search(r"[^\W\d_]", t or ""))
 
 
+def test_language_stage_without_labels_keeps_all_with_letters(spark):
+    rows = [(1, "hello there", None, "a"), (2, None, None, "a"), (3, "12 !", None, "b"), (None, "bonjour", None, None)]
+    assert texts(cp.language_stage(spark, frame(spark, rows), SF)) == Counter([(1, "hello there"), (None, "bonjour")])
+
+
 def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     base = prose(100, 1)
     rows = [(9, base, "en", "a"), (4, base + " more", "en", "b"), (4, base + " more", "en", "b"), (7, prose(80, 2), "en", None), (None, base, "en", "a"), (3, None, "en", "a")]
