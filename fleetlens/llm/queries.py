@@ -12,6 +12,7 @@ from fleetlens.llm import op7_minhash_dedup as op7
 from fleetlens.llm import op8_embedding_dedup as op8
 from fleetlens.llm import op9_html_extract as op9
 from fleetlens.llm import op10_quality as op10
+from fleetlens.llm import op11_fill_middle as op11
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_embedding_dedup": op8.op8_embedding_dedup,
     "op9_html_extract": op9.op9_html_extract,
     "op10_quality": op10.op10_quality,
+    "op11_fill_middle": op11.op11_fill_middle,
 }
 #: What SQL can't express is tested against brute force and held-out labels.
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op5_decontaminate": op5.SQL,
     "op7_minhash_dedup": op7.SQL,
     "op8_embedding_dedup": op8.SQL,
+    "op11_fill_middle": op11.SQL,
 }
