@@ -13,6 +13,7 @@ from fleetlens.llm import op8_embedding_dedup as op8
 from fleetlens.llm import op9_html_extract as op9
 from fleetlens.llm import op10_quality as op10
 from fleetlens.llm import op11_fill_middle as op11
+from fleetlens.llm import op12_spelling_variants as op12
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_html_extract": op9.op9_html_extract,
     "op10_quality": op10.op10_quality,
     "op11_fill_middle": op11.op11_fill_middle,
+    "op12_spelling_variants": op12.op12_spelling_variants,
 }
 #: What SQL can't express is tested against brute force and held-out labels.
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op7_minhash_dedup": op7.SQL,
     "op8_embedding_dedup": op8.SQL,
     "op11_fill_middle": op11.SQL,
+    "op12_spelling_variants": op12.SQL,
 }

@@ -78,6 +78,36 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges of ``data``."""
+    n = len(data)
+    up, down = powers(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[:n], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
+def range_places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def distinct_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One range of each content, and for every range the number of its content among these.
+
+    Contents are found by hash and compared byte by byte, so the result is exact.
+    """
+    _, first, number = np.unique(range_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    lengths, like = ends - starts, first[number]
+    at = range_places(starts, lengths)
+    if (lengths == lengths[like]).all() and (data[at] == data[at + np.repeat(starts[like] - starts, lengths)]).all():
+        return first, number
+    whole, seen = data.tobytes(), {}  # two contents of one hash
+    number = np.array([seen.setdefault(whole[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist())])
+    return np.unique(number, return_index=True)[1], number
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, separators: bytes = WHITE_SPACE, lower: bool = False) -> Words:
     """Maximal runs of bytes that are no separators, within each text."""
     if lower:
@@ -93,11 +123,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, separators: bytes = WHITE
     begin[first] = flag[first]
     end[last] = flag[last]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * up[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts])
-    return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
+    return Words(data, starts, ends, range_hashes(data, starts, ends), np.searchsorted(starts, offsets))
 
 
 def window_hashes(hashes: np.ndarray, bounds: np.ndarray, width: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
