@@ -14,6 +14,7 @@ from fleetlens.llm import op9_html_extract as op9
 from fleetlens.llm import op10_quality as op10
 from fleetlens.llm import op11_fill_middle as op11
 from fleetlens.llm import op12_spelling_variants as op12
+from fleetlens.llm import op13_packing as op13
 
 QUERIES = {
     "op1_substring_dedup": op1.op1_substring_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality": op10.op10_quality,
     "op11_fill_middle": op11.op11_fill_middle,
     "op12_spelling_variants": op12.op12_spelling_variants,
+    "op13_packing": op13.op13_packing,
 }
 #: What SQL can't express is tested against brute force and held-out labels.
 ORACLES = {
