@@ -10,7 +10,8 @@ from fleetlens.catalog.registry import query
 from fleetlens.catalog.sql import cols, rnd
 from fleetlens.catalog.tables import CAPTURED, SAMPLE_PERCENT, capture_records
 from fleetlens.functions.records import apply_handler, apply_preprocessor, positional_features
-from fleetlens.plans import monitor
+from fleetlens.operators import ranks
+from fleetlens.plans import monitor, sketches
 from fleetlens.plans.bias import pretraining_bias
 from fleetlens.plans.monitor import BUCKET_COLUMNS, BUCKETS
 from fleetlens.schemas import CAPTURE
@@ -109,6 +110,51 @@ def drift_none(spark, sf_dir):
     return monitor.drift_violations(*_before_after(spark, sf_dir), NUMBERS)
 
 
+FLAGS = ("l_returnflag", "l_linestatus", "l_discount")
+_TEXTS = FLAGS[:2]
+
+
+@query("baseline_categories", "\nUNION ALL ".join(f"""SELECT '{c}' AS feature, 'String' AS inferred_type, present, missing, "distinct",
+domain, category, n, {rnd('n / present', 'share')} FROM (SELECT {c} AS category, count(*) AS n FROM orders LEFT JOIN lineitem
+ON o_orderkey = l_orderkey AND l_quantity > 40 WHERE {c} IS NOT NULL GROUP BY {c}), (SELECT count({c}) AS present, count(*) - count({c}) AS missing,
+count(DISTINCT {c}) AS "distinct", string_agg(DISTINCT {c}, ',' ORDER BY {c}) AS domain FROM orders LEFT JOIN lineitem
+ON o_orderkey = l_orderkey AND l_quantity > 40)""" for c in _TEXTS) + """
+UNION ALL SELECT 'l_discount', 'Fractional', count(l_discount), count(*) - count(l_discount), NULL, NULL, NULL, NULL, NULL
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_quantity > 40""")
+def baseline_categories(spark, sf_dir):
+    """Text and number features of orders with their large lines; orders without one have none."""
+    lines = adapters.read_table(spark, sf_dir, "lineitem").filter("l_quantity > 40")
+    orders = adapters.read_table(spark, sf_dir, "orders")
+    mixed = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").select(*FLAGS)
+    stats = monitor.baseline_statistics(mixed, FLAGS)
+    domains = monitor.baseline_constraints(stats).select("feature", F.array_join("domain", ",").alias("domain"))
+    rows = stats.join(domains, "feature").select(
+        "feature", "inferred_type", "present", "missing", "distinct", "domain", F.inline_outer("categories"))
+    return rows.withColumnsRenamed({"item": "category", "count": "n"}).withColumn("share", F.col("n") / F.col("present"))
+
+
+_FLAG_SHARES = "\nUNION ALL ".join(f"""SELECT '{c}' AS feature, {c} AS category, count(*) FILTER (WHERE NOT later) / sum(count(*) FILTER (WHERE NOT later)) OVER () AS p,
+count(*) FILTER (WHERE later) / sum(count(*) FILTER (WHERE later)) OVER () AS q FROM flags GROUP BY {c}""" for c in _TEXTS)
+
+
+@query("drift_categories", f"""WITH flags AS (SELECT l_shipdate >= TIMESTAMP '{CUT}' AS later,
+CASE WHEN l_shipdate >= TIMESTAMP '{CUT}' AND l_quantity > 30 THEN 'X' ELSE l_returnflag END AS l_returnflag,
+CASE WHEN l_shipdate >= TIMESTAMP '{CUT}' AND l_quantity > 25 THEN 'F' ELSE l_linestatus END AS l_linestatus FROM lineitem),
+shares AS ({_FLAG_SHARES}),
+found AS (SELECT feature, 'baseline_drift_check' AS "check", max(abs(p - q)) AS observed, CAST(0.1 AS DOUBLE) AS allowed,
+'distance to the baseline distribution is above the limit' AS description FROM shares GROUP BY feature HAVING max(abs(p - q)) > 0.1
+UNION ALL SELECT feature, 'categorical_values_check', sum(q) FILTER (WHERE p = 0), 0, 'values outside those of the baseline' FROM shares
+GROUP BY feature HAVING sum(q) FILTER (WHERE p = 0) > 0)
+SELECT feature, "check", {rnd('observed')}, {rnd('allowed')}, description FROM found""")
+def drift_categories(spark, sf_dir):
+    """Later lines with a new return flag and more lines of one status."""
+    before, after = _before_after(spark, sf_dir)
+    changed = after.withColumns({
+        "l_returnflag": F.when(F.col("l_quantity") > 30, F.lit("X")).otherwise(F.col("l_returnflag")),
+        "l_linestatus": F.when(F.col("l_quantity") > 25, F.lit("F")).otherwise(F.col("l_linestatus"))})
+    return monitor.drift_violations(before, changed, FLAGS)
+
+
 def _numbered_events(spark, sf_dir):
     events = adapters.read_table(spark, sf_dir, "events")
     return events.select("ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
@@ -128,6 +174,40 @@ def drift_hourly(spark, sf_dir):
     return monitor.hourly_drift(events, baseline, EVENT_NUMBERS, bounds)
 
 
+_KS_LINES = """lines AS (SELECT l_orderkey, l_linenumber, l_shipdate >= TIMESTAMP '{cut}' AS later, CASE WHEN l_shipdate >= TIMESTAMP '{cut}' AND l_partkey % 1000 = 0
+THEN 1e9 WHEN l_shipdate >= TIMESTAMP '{cut}' THEN l_quantity * 1.5 ELSE l_quantity END AS l_quantity, l_extendedprice FROM lineitem)""".format(cut=CUT)
+
+
+def _ks_sql(feature: str) -> str:
+    return f"""SELECT '{feature}' AS feature, max(abs(a - b)) AS exact FROM (SELECT
+  sum(count(*) FILTER (WHERE later)) OVER w / sum(count(*) FILTER (WHERE later)) OVER () AS a,
+  sum(count(*) FILTER (WHERE NOT later)) OVER w / sum(count(*) FILTER (WHERE NOT later)) OVER () AS b
+  FROM lines GROUP BY {feature} WINDOW w AS (ORDER BY {feature}))"""
+
+
+@query("drift_ks", f"""WITH {_KS_LINES}, found AS ({_ks_sql('l_quantity')} UNION ALL {_ks_sql('l_extendedprice')})
+SELECT feature, {rnd('exact')}, TRUE AS within, exact > 0.1 AS reported FROM found""")
+def drift_ks(spark, sf_dir):
+    """Exact distance of later lines, some far out, from earlier ones; whether the sketches agree, and what they report.
+
+    The baseline is merged from one profile per year of the earlier lines.
+    """
+    before, after = _before_after(spark, sf_dir)
+    far = F.when(F.col("l_partkey") % 1000 == 0, F.lit(1e9)).otherwise(F.col("l_quantity") * 1.5)
+    after = after.withColumn("l_quantity", far)
+    columns = ("l_quantity", "l_extendedprice")
+    years = sketches.sketch_profile(before, columns, by=[F.year("l_shipdate").alias("year")])
+    baseline, batch = sketches.merge_profiles(years), sketches.sketch_profile(after, columns)
+    exact = ranks.kolmogorov_smirnov(
+        monitor.long_features(after, columns), monitor.long_features(before, columns), "value", ["feature"])
+    found = sketches.ks_distances(batch, baseline).withColumnRenamed("distance", "sketched")
+    reported = sketches.ks_violations(batch, baseline).select("feature", F.lit(True).alias("reported"))
+    return exact.join(found, "feature").join(reported, "feature", "left").select(
+        "feature", F.col("distance").alias("exact"),
+        (F.abs(F.col("distance") - F.col("sketched")) <= sketches.distance_error()).alias("within"),
+        F.coalesce("reported", F.lit(False)).alias("reported"))
+
+
 _HOUR_COLUMNS = ("present", "missing", *BUCKET_COLUMNS)
 
 

@@ -102,3 +102,25 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.count("*").alias("rows"), F.count_if(right).alias("correct"),
         F.avg(right.cast("double")).alias("accuracy"),
     )
+
+
+def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Rows (label, prediction, rows): how often each pair occurs, nulls included."""
+    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("rows"))
+
+
+def class_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Rows (class, actual, predicted, correct, precision, recall, f1) for each class that occurs as label or prediction.
+
+    A row without a label or prediction counts for the other of the two. Shares of nothing are null.
+    """
+    cells = confusion(df, label, prediction)
+    sides = cells.select(F.inline(F.array(
+        F.struct(F.col("label").alias("class"), F.col("rows").alias("actual"), F.lit(0).cast("long").alias("predicted"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("rows")).otherwise(0).alias("correct")),
+        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("actual"), F.col("rows").alias("predicted"),
+                 F.lit(0).cast("long").alias("correct"))))).filter("class IS NOT NULL")
+    sums = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "correct")])
+    return sums.select(
+        "*", F.try_divide("correct", "predicted").alias("precision"), F.try_divide("correct", "actual").alias("recall"),
+        F.try_divide(2 * F.col("correct"), F.col("actual") + F.col("predicted")).alias("f1"))
