@@ -51,7 +51,7 @@ def query(name: str, sql: str | None = None, digits: int = 4):
 
 
 def _load() -> None:
-    from fleetlens.catalog import features, monitoring, operators, tables, training  # noqa: F401
+    from fleetlens.catalog import features, monitoring, operators, streams, tables, training  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
