@@ -10,9 +10,10 @@ from fleetlens.catalog.features import labeled
 from fleetlens.catalog.registry import query
 from fleetlens.catalog.sql import compose, rnd, rnds
 from fleetlens.functions.scalar import json_request
+from fleetlens.operators.asof import asof_join
 from fleetlens.operators.sequence import machine_order
 from fleetlens.operators.summary import row_counts
-from fleetlens.plans import feature_table
+from fleetlens.plans import feature_log, feature_table
 from fleetlens.plans import features as plans
 from fleetlens.plans.monitor import (
     PROFILE_SCHEMA,
@@ -203,3 +204,55 @@ def fs_sql(spark, sf_dir):
         "SELECT model, count(DISTINCT machineID) AS machines, max(age) AS oldest FROM {history} GROUP BY model",
         history=history,
     )
+
+
+_SPINE = "spine AS (SELECT event_id, user_id % (SELECT count(*) FROM supplier) + 1 AS machineID, ts FROM events WHERE event_type <> 'signup')"
+
+
+def _spine(spark, sf_dir):
+    """Events as rows that ask for a machine's features at their time."""
+    machines = adapters.read_table(spark, sf_dir, "supplier").count()
+    events = adapters.read_table(spark, sf_dir, "events").filter("event_type <> 'signup'")
+    return events.select("event_id", (F.col("user_id") % machines + 1).alias("machineID"), "ts")
+
+
+@query("fs_as_of", _with_history(f""", {_SPINE} SELECT s.event_id, s.machineID, s.ts, h.model, h.age, {rnd('h.event_time', 'event_time')}
+FROM spine s ASOF LEFT JOIN history h ON s.machineID = h.machineID AND epoch_us(s.ts) / 1e6 >= h.event_time"""))
+def fs_as_of(spark, sf_dir):
+    """Machine attributes as they were known at each event; nothing before the first append."""
+    history = _history(spark, sf_dir).drop("event_date")
+    return feature_table.features_as_of(_spine(spark, sf_dir), history, "machineID", "ts")
+
+
+@query("asof_maintenance", compose("""SELECT t.machineID, t.datetime, t.volt, r.comp, r.replaced FROM telemetry t
+ASOF LEFT JOIN (SELECT machineID, datetime AS replaced, max(comp) AS comp FROM maint GROUP BY machineID, datetime) r
+ON t.machineID = r.machineID AND t.datetime >= r.replaced""", "telemetry", "maint"))
+def asof_maintenance(spark, sf_dir):
+    """Each reading with the machine's last replacement; of several at one time the last component."""
+    data = adapters.inputs(spark, sf_dir)
+    maint = data.maint.withColumnRenamed("datetime", "replaced")
+    return asof_join(data.telemetry.select("machineID", "datetime", "volt"), maint, ["machineID"], "datetime", "replaced", ["comp"])
+
+
+@query("fs_log_appends", f"""SELECT user_id, event_id, event_type, {rnd('value')}, CASE WHEN event_id % 3 > 0 THEN event_id % 7 END AS grade,
+CASE WHEN event_id % 3 = 2 THEN 'late' END AS note, 'day' || CAST(event_id % 3 AS VARCHAR) AS batch FROM events""")
+def fs_log_appends(spark, sf_dir):
+    """Events appended as three batches, the second with one more column, the third with another and a wider one, and two of them twice."""
+    path = new_path(spark, "log")
+    events = adapters.read_table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    grade, parts = F.col("event_id") % 7, [events.filter(F.col("event_id") % 3 == i) for i in range(3)]
+    batches = [parts[0], parts[1].withColumn("grade", grade.cast("int")), parts[2].withColumn("grade", grade).withColumn("note", F.lit("late"))]
+    for i in (0, 0, 1, 2, 1):
+        feature_log.append_batch(batches[i], path, f"day{i}", FEATURE_TIMES[0])
+    return feature_log.read_history(spark, path).drop("event_time", "event_date")
+
+
+@query("fs_latest_view", """SELECT user_id, ts, event_id, event_type, value FROM
+(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
+def fs_latest_view(spark, sf_dir):
+    """The latest event per user from three batches merged one after the other, the newest first."""
+    path = new_path(spark, "latest")
+    events = adapters.read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    for i in (2, 0, 1):
+        feature_log.update_latest(events.filter(F.col("event_id") % 3 == i), path, "user_id", "ts", "event_id", buckets=16)
+    return feature_log.read_latest(spark, path)

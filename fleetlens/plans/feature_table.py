@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.operators.asof import asof_join
 from fleetlens.operators.summary import column_info
 
 _DECLARED = {int: T.LongType(), float: T.DoubleType(), str: T.StringType()}
@@ -61,10 +62,25 @@ def append_offline(df: DataFrame, path: str, event_time: str | None = None, defi
 
 
 def read_offline(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
+    """The whole history. Without a given schema columns are those of all appends, null where one lacked them."""
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     return reader.parquet(path)
 
 
+def features_as_of(
+    spine: DataFrame, history: DataFrame, key: str, time: str, event_time: str = "event_time", tie_breaks: Sequence[str] = (),
+    within: float | None = None,
+) -> DataFrame:
+    """Rows of ``spine`` with the features known at their time: the key's last record of the history at or before it.
+
+    ``event_time`` may be epoch seconds; it is then compared with the seconds of a timestamp ``time``.
+    """
+    if not isinstance(spine.schema[time].dataType, T.NumericType) and isinstance(history.schema[event_time].dataType, T.NumericType):
+        numbered = spine.withColumn("_seconds", F.unix_micros(F.col(time).cast("timestamp")) / 1e6)
+        return asof_join(numbered, history, [key], "_seconds", event_time, tie_breaks, within).drop("_seconds")
+    return asof_join(spine, history, [key], time, event_time, tie_breaks, within)
+
+
 def latest_records(history: DataFrame, key: str, event_time: str, *tie_breaks: str) -> DataFrame:
     """Latest record per key.
 
