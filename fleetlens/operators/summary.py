@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fleetlens.operators.selection import select_numbers
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Number of rows of each named table."""
@@ -37,47 +39,21 @@ def code_pivot(events: DataFrame, keys: Sequence[str], column: str, values: Sequ
     return events.groupBy(*keys).agg(*[F.count_if(F.col(column) == v).alias(v) for v in values])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """Interpolated quantiles of each column: (column, probability, value).
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles of each column: (column, probability, value). Columns without values are left out.
 
-    A sketch with a proven rank error gives a narrow bracket around each quantile. Values inside a
-    bracket are counted one by one; all values between two brackets become a single count. So one
-    pass, reduced before its shuffle, leaves a few parts in ``accuracy`` of the values to put in order.
+    Values are counted by parts of their range when this is called; none are put in order.
     """
-    reach = 2 / accuracy
-    ends = [min(1.0, max(0.0, p + side)) for p in sorted(probabilities) for side in (-reach, reach)]
-    sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), ends, accuracy).alias(c) for c in columns]).first()
-    brackets = {c: list(zip(sketch[c][::2], sketch[c][1::2])) for c in columns if sketch[c]}
-
-    def per_column(build) -> Column:
-        return F.create_map(*[x for c, b in brackets.items() for x in (F.lit(c), build(b))])[F.col("column")]
-
-    value = F.col("value")
-    lows = per_column(lambda b: F.array(*[F.lit(low) for low, _ in b]))
-    pairs = per_column(lambda b: F.array(*[F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")) for low, high in b]))
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in brackets]).unpivot([], list(brackets), "column", "value")
-    placed = long.filter(value.isNotNull()).select(
-        "column",
-        F.size(F.filter(lows, lambda low: low <= value)).alias("region"),
-        F.when(F.exists(pairs, lambda x: (x["low"] <= value) & (value <= x["high"])), value).alias("value"),
-    )
-    counted = placed.groupBy("column", "region", "value").agg(F.count("*").alias("n"))
 
-    in_order = W.partitionBy("column").orderBy("region", value.asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy("column")
-    summed = counted.select(
-        "column", "value", "n", F.sum("n").over(in_order).alias("upto"), F.sum("n").over(whole).alias("total")
-    )
-    ranked = summed.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    rank = F.col("probability") * (F.col("total") - 1)
+    def ranks(total: int) -> list[int]:
+        return [f(p * (total - 1)) for p in probabilities for f in (math.floor, math.ceil)]
 
-    def at(place: Column) -> Column:
-        return F.max(F.when((place < F.col("upto")) & (place >= F.col("upto") - F.col("n")), value))
-
-    found = ranked.groupBy("column", "probability").agg(
-        at(F.floor(rank)).alias("a"), at(F.ceil(rank)).alias("b"), F.first(rank - F.floor(rank)).alias("share")
-    )
-    return found.select("column", "probability", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
+    rows = []
+    for c, (total, found) in select_numbers(df, {c: F.col(c) for c in columns}, ranks).items():
+        for p, low, high in zip(probabilities, found[::2], found[1::2]):
+            rank = p * (total - 1)
+            rows.append((c, float(p), low if low == high else low + (high - low) * (rank - math.floor(rank))))
+    return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -85,7 +85,7 @@ def test_flatten_report(spark):
 def test_exact_quantiles_with_narrow_brackets_and_a_hot_value(spark):
     values = [float((i * 7919) % 3001) for i in range(3001)] + [1500.0] * 1500
     df = spark.createDataFrame([(v, -v, None if v < 100 else v) for v in values], "a double, b double, c double")
-    out = {(r.column, r.probability): r.value for r in summary.exact_quantiles(df, ["a", "b", "c"], (0.25, 0.5, 0.75), accuracy=100).collect()}
+    out = {(r.column, r.probability): r.value for r in summary.exact_quantiles(df, ["a", "b", "c"], (0.25, 0.5, 0.75)).collect()}
     for name, column in (("a", values), ("b", [-v for v in values]), ("c", [v for v in values if v >= 100])):
         for p, wanted in zip((0.25, 0.5, 0.75), statistics.quantiles(column, n=4, method="inclusive")):
             assert out[name, p] == pytest.approx(wanted), (name, p)
