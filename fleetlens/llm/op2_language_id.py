@@ -3,8 +3,9 @@
 For every language a suffix automaton is built over a sample of its labelled text. A text is parsed into
 phrases, each the longest piece that occurs in the language's sample; the automaton yields it letter by
 letter. The fewer phrases, each weighted by the bits that name a place in the sample, the closer the
-text is to the language. Case is folded, letters beyond the ``LETTERS`` most frequent are one symbol, and
-a run of other characters is one blank.
+text is to the language. Case is folded, every letter of the sample is a symbol, letters that it lacks are
+one more, and a run of other characters is one blank. Transitions by the ``LETTERS`` most frequent letters
+stand in a table, those by all others, as in scripts of many letters, in a sorted list.
 
 Parsing runs on all texts of a batch at once: texts are cut into blocks of ``BLOCK`` symbols, each parsed
 by itself in each language, and one step advances every block by a symbol.
@@ -29,43 +30,52 @@ SAMPLE_CHARS = 80_000
 LETTERS, BLOCK, PIECE = 46, 256, 1 << 20
 
 
-def suffix_transitions(text: list[int], symbols: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``text``, a row per state; -1 where there is none."""
-    table = np.full((2 * len(text) + 2, symbols), -1, np.int32)
-    link, length, count, last = [-1] * len(table), [0] * len(table), 1, 0
+def suffix_transitions(text: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``text``, by symbol, for each state."""
+    moves: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
     for c in text:
-        new, state = count, last
-        count += 1
-        length[new] = length[last] + 1
-        while state >= 0 and table[state, c] < 0:
-            table[state, c] = new
+        new, state = len(moves), last
+        moves.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        while state >= 0 and c not in moves[state]:
+            moves[state][c] = new
             state = link[state]
-        if state < 0:
-            link[new] = 0
-        else:
-            there = int(table[state, c])
+        if state >= 0:
+            there = moves[state][c]
             if length[there] == length[state] + 1:
                 link[new] = there
             else:
-                copy, count = count, count + 1
-                table[copy], link[copy], length[copy] = table[there], link[there], length[state] + 1
-                while state >= 0 and table[state, c] == there:
-                    table[state, c] = copy
+                copy = len(moves)
+                moves.append(dict(moves[there]))
+                link.append(link[there])
+                length.append(length[state] + 1)
+                while state >= 0 and moves[state].get(c) == there:
+                    moves[state][c] = copy
                     state = link[state]
                 link[there] = link[new] = copy
         last = new
-    return table[:count]
+    return moves
 
 
 @dataclass
 class LanguageModel:
-    """``step[state * width + symbol]`` is twice the next state, plus 1 if a phrase begins; states of all languages in a row."""
+    """Suffix automata of all languages, their states in a row.
+
+    ``step[state * width + symbol]`` is twice the next state, plus 1 if a phrase begins, for symbols below
+    ``width``. Of a rarer symbol ``begin[language, symbol - width]`` is the state where a phrase begins, and
+    ``rare_to`` the next state after ``rare_keys``, state * number of symbols + symbol, in order.
+    """
 
     languages: list[str]
     alphabet: str
     roots: np.ndarray
     bits: np.ndarray
     step: np.ndarray
+    begin: np.ndarray
+    rare_keys: np.ndarray
+    rare_to: np.ndarray
     _fold: np.ndarray | None = None
 
     def __getstate__(self):
@@ -73,21 +83,37 @@ class LanguageModel:
 
     @property
     def width(self) -> int:
-        return len(self.alphabet) + 2  # blank, the alphabet, any other letter
+        return min(len(self.alphabet), LETTERS) + 2  # blank, any letter that the sample lacks, the first of the alphabet
+
+    @property
+    def symbols(self) -> int:
+        return len(self.alphabet) + 2
 
     @property
     def fold(self) -> np.ndarray:
         """Symbol of each code point."""
         if self._fold is None:
-            number = {c: i + 1 for i, c in enumerate(self.alphabet)}
-            fold = np.zeros(0x110000, np.uint8)
+            number = {c: i + 2 for i, c in enumerate(self.alphabet)}
+            fold = np.zeros(0x110000, np.min_scalar_type(self.symbols))
             for point in range(0x110000):
                 c = chr(point)
                 if c.isalpha():
-                    fold[point] = number.get(c.lower(), self.width - 1)
+                    fold[point] = number.get(c.lower(), 1)
             self._fold = fold
         return self._fold
 
+    def next(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """As ``step``, for states (a row per language) at ``symbols``."""
+        got = self.step[state * self.width + np.minimum(symbols, self.width - 1)]
+        rare = np.flatnonzero(symbols >= self.width)
+        if len(rare):
+            symbol = symbols[rare].astype(np.int64)
+            keys = state[:, rare] * self.symbols + symbol
+            at = np.minimum(np.searchsorted(self.rare_keys, keys), len(self.rare_keys) - 1)
+            goes_on = self.rare_keys[at] == keys
+            got[:, rare] = np.where(goes_on, 2 * self.rare_to[at], 2 * self.begin[:, symbol - self.width] + 1)
+        return got
+
 
 def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model from rows with a text and a language.
@@ -114,21 +140,35 @@ def fit_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", s
 def language_model(texts: dict[str, str]) -> LanguageModel:
     languages = sorted(texts)
     letters = Counter(c for t in texts.values() for c in t.lower() if c.isalpha() and len(c.lower()) == 1)
-    alphabet = "".join(sorted(sorted(letters, key=lambda c: (-letters[c], c))[:LETTERS]))
-    model = LanguageModel(languages, alphabet, np.zeros(len(languages), np.int64), np.zeros(len(languages)), np.zeros(0, np.int32))
-    tables, first = [], 0
+    alphabet = "".join(sorted(letters, key=lambda c: (-letters[c], c)))
+    none = np.zeros(0, np.int64)
+    model = LanguageModel(languages, alphabet, np.zeros(len(languages), np.int64), np.zeros(len(languages)), none, none, none, none)
+    width, tables, first = model.width, [], 0
+    model.begin = np.zeros((len(languages), model.symbols - width), np.int64)
+    rare: list[tuple[int, int]] = []
     for i, language in enumerate(languages):
         symbols = collapse(model.fold[code_points(texts[language])], np.zeros(1, np.int64))[0]
-        table = suffix_transitions(symbols.tolist(), model.width)
-        root = table[0]
-        begin = np.where(root >= 0, root, 0)[None, :]
-        goes_on = table >= 0
-        goes_on[0] = False  # from the root a phrase begins
-        nexts = np.where(goes_on, table, begin)
-        tables.append(2 * (nexts + first) + ~goes_on)
+        moves = suffix_transitions(symbols.tolist())
+        root = np.zeros(width, np.int64)  # where a phrase begins; the root itself for symbols it lacks
+        for c, to in moves[0].items():
+            if c < width:
+                root[c] = to
+            else:
+                model.begin[i, c - width] = to
+        model.begin[i] += first
+        table = np.tile(2 * (root + first) + 1, (len(moves), 1))
+        for state, by_symbol in enumerate(moves[1:], 1):
+            for c, to in by_symbol.items():
+                if c < width:
+                    table[state, c] = 2 * (to + first)
+                else:
+                    rare.append(((state + first) * model.symbols + c, to + first))
+        tables.append(table.astype(np.int32))
         model.roots[i], model.bits[i] = first, np.log2(len(symbols) + 1)
-        first += len(table)
-    model.step = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+        first += len(moves)
+    rare.sort()
+    model.rare_keys, model.rare_to = np.array([k for k, _ in rare] or [-1], np.int64), np.array([to for _, to in rare] or [0], np.int64)
+    model.step = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
     return model
 
 
@@ -160,7 +200,7 @@ def phrase_counts(model: LanguageModel, symbols: np.ndarray, bounds: np.ndarray)
     live = np.searchsorted(-size, -np.arange(1, BLOCK + 1), "right")  # blocks with more than j symbols stand first
     for j in range(int(size[0]) if len(size) else 0):
         n = live[j]
-        got = model.step[state[:, :n] * model.width + symbols[begin[:n] + j]]
+        got = model.next(state[:, :n], symbols[begin[:n] + j])
         phrases[:, :n] += got & 1
         state[:, :n] = got >> 1
     return np.stack([np.bincount(owner, p, len(counts)) for p in phrases], 1) if len(phrases) else np.zeros((len(counts), 0))

@@ -2,6 +2,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +29,9 @@ def phrases(text, symbols):
     return count
 
 
-def test_phrase_counts_equal_brute_force():
+@pytest.mark.parametrize("letters", [46, 2])
+def test_phrase_counts_equal_brute_force(monkeypatch, letters):
+    monkeypatch.setattr(op2, "LETTERS", letters)  # with 2, most letters are looked up in the sorted list
     rng = np.random.default_rng(2)
     texts = {k: "".join(rng.choice(list("abcd e"), 400, p=p)) for k, p in {"x": [.4, .2, .1, .1, .1, .1], "y": [.1, .1, .2, .4, .1, .1]}.items()}
     model = op2.language_model(texts)
@@ -45,6 +49,23 @@ def test_phrase_counts_equal_brute_force():
             assert got[i, k] == sum(phrases(train, raw[b : b + op2.BLOCK]) for b in range(0, len(raw), op2.BLOCK))
 
 
+def test_two_languages_of_one_large_script(spark):
+    """Each has 300 letters of its own and 300 in common, many more than the table of transitions has."""
+    r = random.Random(6)
+    han = [chr(0x4E00 + k) for k in range(900)]
+    words = {lang: ["".join(r.choices(letters, k=3)) for _ in range(400)] for lang, letters in (("a", han[:300] + han[600:]), ("b", han[300:]))}
+
+    def make(lang, n):
+        return "".join(r.choice(words[lang]) for _ in range(n))
+
+    others = {"en": "the quick brown fox jumps over the lazy dog and runs away " * 90, "ru": "съешь же ещё этих мягких французских булок да выпей чаю " * 90}
+    model = op2.language_model({lang: make(lang, 1700) for lang in words} | others)
+    assert len(set(han) & set(model.alphabet)) > 800 and model.width < 60
+    rows = [(k, make("ab"[k % 2], 30), "ab"[k % 2]) for k in range(60)] + [(99, "the lazy fox", "en"), (98, "мягких булок", "ru")]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    assert {x.doc_id: x.lang_pred for x in op2.identify_language(df, model).collect()} == {i: lang for i, _, lang in rows}
+
+
 def test_languages_of_held_out_documents(spark):
     got = op2.op2_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     row = got.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right"), F.min("score").alias("low"), F.max("score").alias("high")).first()
