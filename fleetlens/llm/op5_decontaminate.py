@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,8 @@ class ItemAutomaton:
 class ItemBlock:
     """Items of a block with their vocabulary; built where it is first used."""
 
-    def __init__(self, ids: Sequence[int | None], items: Sequence[np.ndarray], width: int):
+    def __init__(self, ids: Sequence[Sequence[int]], items: Sequence[np.ndarray], width: int):
+        """``ids`` holds the ids of all items with the words at its place in ``items``."""
         self.ids, self.width = list(ids), width
         self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *items]))
         self.items = [np.searchsorted(self.vocabulary, x).astype(np.int32) for x in items]
@@ -178,7 +180,7 @@ def found_rows(block: ItemBlock):
                     for start, stop, which in block.automaton.stream(numbers):
                         spans[t].append((at + start, at + stop))
                         items[t].update(which)
-                names = [sorted({block.ids[i] for i in found} - {None}) for found in items]
+                names = [sorted({i for k in found for i in block.ids[k]}) for found in items]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("_th"), pa.array(words.counts.astype(np.int64)),
                      pa.array([merged(s) for s in spans], _SPANS), pa.array(names, pa.list_(pa.int64()))],
@@ -199,16 +201,20 @@ def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def item_blocks(items: DataFrame, width: int, block_words: int, item_id: str = "item_id", text: str = "text") -> Iterator[ItemBlock]:
-    """Blocks of items of at most ``block_words`` words, or of one longer item."""
+    """Blocks of items of at most ``block_words`` words and ids, or of one longer item.
+
+    Items of equal words are one, with all their ids, before they are dealt into blocks.
+    """
     rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
-    hashed = keep(rows.mapInArrow(_word_hashes, "item_id long, n long, words binary").filter("n > 0"), "items")
-    total = hashed.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
-    # items are dealt by a hash of their words; half the bound leaves room for uneven blocks
-    count = -(-2 * (total.n or 0) // block_words)
-    for b in range(max(count, 1)):
-        part = hashed.filter(F.pmod(F.xxhash64("words"), F.lit(max(count, 1))) == b).toArrow()
+    hashed = rows.mapInArrow(_word_hashes, "item_id long, n long, words binary").filter("n > 0")
+    hashed = keep(hashed.groupBy("words").agg(F.max("n").alias("n"), F.collect_set("item_id").alias("ids")), "items")
+    total = hashed.agg(F.sum(F.col("n") + F.size("ids")).alias("n")).first()
+    # dealt by a hash of their words; half the bound leaves room for uneven blocks
+    count = max(1, -(-2 * (total.n or 0) // block_words))
+    for b in range(count):
+        part = hashed.filter(F.pmod(F.xxhash64("words"), F.lit(count)) == b).toArrow()
         if part.num_rows:
-            yield ItemBlock(part.column("item_id").to_pylist(), [np.frombuffer(x, np.uint64) for x in part.column("words").to_pylist()], width)
+            yield ItemBlock(part.column("ids").to_pylist(), [np.frombuffer(x, np.uint64) for x in part.column("words").to_pylist()], width)
 
 
 def benchmark_hits(
@@ -224,9 +230,13 @@ def benchmark_hits(
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = documents(docs, doc_id, text)
-    blocks = [texts.mapInArrow(found_rows(block), _FOUND) for block in item_blocks(items, width, block_words)]
-    if len(blocks) <= 1:
-        return blocks[0] if blocks else texts.mapInArrow(found_rows(ItemBlock([], [], width)), _FOUND)
+    blocks = item_blocks(items, width, block_words)
+    first, second = next(blocks, ItemBlock([], [], width)), next(blocks, None)
+    if second is None:
+        return texts.mapInArrow(found_rows(first), _FOUND)
+    # one pass after the other is written, so that the driver never holds more than two blocks
+    passes = (texts.mapInArrow(found_rows(block), _FOUND) for block in chain([first, second], blocks))
+    blocks = [keep(found, "hits") for found in passes]
     every = reduce(DataFrame.unionByName, blocks)
     # each block has each row once; a row that is repeated k times is given back k times
     rows = every.groupBy("doc_id", "_th").agg(

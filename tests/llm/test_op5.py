@@ -58,6 +58,15 @@ def test_item_blocks_give_the_same(spark):
     assert found(spark, docs, items, 4, block_words=20) == brute(docs, items, 4)
 
 
+def test_copies_of_an_item_are_one_in_a_block(spark):
+    text = " ".join(f"w{k}" for k in range(20))
+    items = [(k, text) for k in range(3000)] + [(None, text), (9000, "other words here")]
+    blocks = list(op5.item_blocks(spark.createDataFrame(items, "item_id long, text string"), 4, block_words=10_000))
+    assert len(blocks) == 1 and sum(len(x) for x in blocks[0].items) == 23 and sorted(map(len, blocks[0].ids)) == [1, 3000]
+    docs = [(1, "x " + text), (2, "other words here"), (2, "other words here"), (3, None)]
+    assert found(spark, docs, items[:40] + items[-2:], 4, block_words=8) == brute(docs, items[:40] + items[-2:], 4)
+
+
 def test_no_items_and_no_documents(spark):
     docs, items = case(5)
     assert found(spark, docs, [], 4) == brute(docs, [], 4)
