@@ -29,8 +29,6 @@ from fleetlens.llm.tables import bounded_batches, documents, group_bounds, keep,
 from fleetlens.llm.words import Words, mix, pieces, powers, signed, split_words, window_hashes
 
 SHINGLE, ROWS, BANDS = 5, 5, 43
-#: Signatures that agree in fewer places than this set a pair aside.
-LEAST_AGREEMENT = 0.6
 BLOCK = 2048
 
 
@@ -124,7 +122,13 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def verified_rows(percent: int):
+def least_agreement(percent: int, count: int) -> float:
+    """Share of ``count`` minima below which a pair is set aside: five deviations below that of a pair at the limit."""
+    share = percent / 100
+    return share - 5 * (share * (1 - share) / count) ** 0.5
+
+
+def verified_rows(percent: int, least: float):
     """Of pairs with both signatures and sets, those that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +136,7 @@ def verified_rows(percent: int):
             if not batch.num_rows:
                 continue
             sig = [np.stack([np.frombuffer(x, np.uint32) for x in batch.column(c).to_pylist()]) for c in ("sig_a", "sig_b")]
-            likely = np.flatnonzero((sig[0] == sig[1]).mean(1) >= LEAST_AGREEMENT)
+            likely = np.flatnonzero((sig[0] == sig[1]).mean(1) >= least)
             a, b = batch.column("set_a"), batch.column("set_b")
             linked = [i for i in likely.tolist() if similar(
                 np.frombuffer(a[i].as_py(), np.uint64), np.frombuffer(b[i].as_py(), np.uint64), percent)]
@@ -144,7 +148,7 @@ def verified_rows(percent: int):
 _CELL = ["key_", "row_", "column_"]
 
 
-def _likely_pairs(table: pa.Table, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray]]:
+def _likely_pairs(table: pa.Table, lo: int, hi: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
     """For each outsider of a cell the members of other components with a signature close enough."""
     role = table.column("outsider").to_numpy()[lo:hi]
     comp = table.column("component").to_numpy()[lo:hi]
@@ -152,24 +156,28 @@ def _likely_pairs(table: pa.Table, lo: int, hi: int) -> Iterator[tuple[int, np.n
     members = np.flatnonzero(~role)
     for i in np.flatnonzero(role):
         others = members[comp[members] != comp[i]]
-        close = others[(sig[others] == sig[i]).mean(1) >= LEAST_AGREEMENT]
+        close = others[(sig[others] == sig[i]).mean(1) >= least]
         if len(close):
             yield i + lo, close + lo
 
 
-def likely_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def likely_rows(least: float):
     """The rows of each cell that have a likely partner in it."""
-    for table in whole_groups(batches, _CELL):
-        table = table.combine_chunks()
-        bounds, wanted = group_bounds(table, _CELL), np.zeros(table.num_rows, bool)
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            for i, close in _likely_pairs(table, lo, hi):
-                wanted[i] = True
-                wanted[close] = True
-        yield from table.drop_columns(["signature"]).filter(pa.array(wanted)).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, _CELL):
+            table = table.combine_chunks()
+            bounds, wanted = group_bounds(table, _CELL), np.zeros(table.num_rows, bool)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                for i, close in _likely_pairs(table, lo, hi, least):
+                    wanted[i] = True
+                    wanted[close] = True
+            yield from table.drop_columns(["signature"]).filter(pa.array(wanted)).to_batches()
+
+    return run
 
 
-def cell_links(percent: int):
+def cell_links(percent: int, least: float):
     """Links between an outsider and members of other components; one per outsider and component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +187,7 @@ def cell_links(percent: int):
             ids, comp = table.column("doc_id").to_numpy(), table.column("component").to_numpy()
             sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
             for lo, hi in zip(bounds[:-1], bounds[1:]):
-                for i, close in _likely_pairs(table, lo, hi):
+                for i, close in _likely_pairs(table, lo, hi, least):
                     linked: set[int] = set()
                     for j in close.tolist():
                         if comp[j] not in linked and similar(sets[i], sets[j], percent):
@@ -227,7 +235,7 @@ def near_duplicates(
     one document: what links one of them links all. A row without an id links with nothing, has no
     component and is kept. Repeated rows give repeated rows. Extra columns are ignored.
     """
-    texts = documents(docs, doc_id, text)
+    texts, least = documents(docs, doc_id, text), least_agreement(percent, rows * bands)
     bounded_batches(docs.sparkSession)
     schema = "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"
     features = keep(texts.mapInArrow(feature_rows(shingle, rows, bands, seed), schema), "features")
@@ -245,13 +253,13 @@ def near_duplicates(
     for side in "ab":
         stars = stars.join(sets.select(
             F.col("doc_id").alias(side), F.col("signature").alias(f"sig_{side}"), F.col("shingles").alias(f"set_{side}")), side)
-    links = keep(stars.mapInArrow(verified_rows(percent), "a long, b long"), "links")
+    links = keep(stars.mapInArrow(verified_rows(percent, least), "a long, b long"), "links")
     first = connected_components(links).withColumnRenamed("id", "doc_id")
     cell_type = "key_ long, row_ long, column_ long, doc_id long, component long, outsider boolean"
     cells = _cells(members.drop("low"), first, block).join(sets.select("doc_id", "signature"), "doc_id")
     wanted = keep(cells.repartition(*_CELL).sortWithinPartitions(*_CELL).select(*cell_type.replace(" long", "").replace(" boolean", "").split(", "), "signature")
-                  .mapInArrow(likely_rows, cell_type), "likely")
-    more = wanted.join(sets, "doc_id").repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(cell_links(percent), "a long, b long")
+                  .mapInArrow(likely_rows(least), cell_type), "likely")
+    more = wanted.join(sets, "doc_id").repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(cell_links(percent, least), "a long, b long")
     found = connected_components(copies.unionByName(links).unionByName(more)).withColumnRenamed("id", "doc_id")
     return features.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),

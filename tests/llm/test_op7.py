@@ -82,3 +82,17 @@ def test_components(spark, seed):
 def test_query_equals_sql(spark):
     con = connect("/root/testdata/sf0.001")
     assert differences(op7.op7_minhash_dedup(spark, "/root/testdata/sf0.001"), con, op7.SQL) == []
+
+
+@pytest.mark.parametrize("percent", [50, 60])
+def test_other_limits_and_fewer_minima(spark, percent):
+    """Pairs a little above the limit, many of which a bound for 75 per cent would set aside."""
+    rows, size = [], 400
+    for k in range(30):
+        common = round(size * 2 * (percent + 4) / (100 + percent + 4))
+        own = [f"{s}{k}x{i}" for s in "ab" for i in range(size - common)]
+        shared = [f"c{k}x{i}" for i in range(common)]
+        rows += [(2 * k, " ".join(shared + own[: size - common])), (2 * k + 1, " ".join(shared + own[size - common :]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op7.near_duplicates(df, percent=percent, shingle=1, rows=3, bands=72).filter("NOT kept").count()
+    assert got >= 29
