@@ -28,8 +28,8 @@ from fleetlens.llm.linear import SparseRows
 from fleetlens.llm.tables import bounded_batches, read
 from fleetlens.llm.words import pieces
 
-#: Bounds: pages whose texts are used for training, and labelled pages made of them.
-SAMPLE_PAGES, LABELLED_PAGES = 60, 500
+#: Bounds: pages whose texts are used for training, the characters of such a page, and labelled pages made of them.
+SAMPLE_PAGES, SAMPLE_CHARS, LABELLED_PAGES = 60, 50_000, 500
 WIDTH, PENALTY = 1 << 13, 0.3
 
 # Element names of HTML by their effect on text.
@@ -45,6 +45,12 @@ VOID = frozenset((
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 RAW_TEXT = frozenset(("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "xmp"))
 NO_TEXT = frozenset(("annotation", "annotation-xml", "audio", "button", "canvas", "datalist", "object", "select", "svg", "template", "video"))
+#: Start tags that end an <svg> which is still open.
+BREAKS_OUT = frozenset((
+    "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5", "h6",
+    "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike",
+    "sub", "sup", "table", "tt", "u", "ul", "var"))
+HTML_INSIDE = frozenset(("foreignobject", "desc", "title"))
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 #: Attributes up to the end of a tag. A quote opens a value right after "=" and where it is closed later; elsewhere it is a character.
@@ -52,6 +58,10 @@ _TAG_END = re.compile(
     r"""(?:[ \t\n\f\r/]+|(?:=[^ \t\n\f\r/>=]*|[^ \t\n\f\r/>=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r>]*))?)*+>""")
 _TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: The end of a comment after "<!--"; "<!-->" and "<!--->" are whole comments.
+_COMMENT_END = re.compile(r"--!?>")
+#: An unquoted value at the end of attributes, to which a slash before ">" belongs.
+_UNQUOTED = re.compile(r"""=[ \t\n\f\r]*[^ \t\n\f\r"'>][^ \t\n\f\r>]*\Z""")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -66,7 +76,8 @@ def blocks(page: str) -> list[tuple[str, int, tuple[tuple[str, ...], ...]]]:
     """(text, characters in links, ancestors) of each leaf block with text, in page order.
 
     White space is one blank, character references are decoded. Comments, scripts, styles and other
-    elements without readable text are skipped. An unfinished tag, comment or script ends the page.
+    elements without readable text are skipped. Broken markup is read as browsers do: an unfinished tag,
+    comment or script reaches to the end of the page, an open <svg> to the next tag that can't be in it.
     """
     out: list[tuple[str, int, tuple[tuple[str, ...], ...]]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -104,10 +115,13 @@ def blocks(page: str) -> list[tuple[str, int, tuple[tuple[str, ...], ...]]]:
             break
         add(page[at:tag])
         if page.startswith("<!--", tag):
-            end = page.find("-->", tag + 4)
-            if end < 0:
+            if page.startswith((">", "->"), tag + 4):
+                at = page.index(">", tag + 4) + 1
+                continue
+            end = _COMMENT_END.search(page, tag + 4)
+            if not end:
                 break
-            at = end + 3
+            at = end.end()
             continue
         named = _TAG_NAME.match(page, tag)
         if not named:
@@ -124,6 +138,13 @@ def blocks(page: str) -> list[tuple[str, int, tuple[tuple[str, ...], ...]]]:
         if not found:
             break
         at, name, ends = found.end(), named[1].lower(), page[tag + 1] == "/"
+        if not ends and name in BREAKS_OUT and silent:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in HTML_INSIDE:
+                    break
+                if stack[depth][0] == "svg":
+                    pop_to(depth)
+                    break
         if name in RAW_TEXT and not ends:
             end = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             if not end:
@@ -154,8 +175,11 @@ def blocks(page: str) -> list[tuple[str, int, tuple[tuple[str, ...], ...]]]:
                 pop_to(depth)
             else:
                 break
+        attributes = page[named.end() : found.end() - 1]
+        if name == "svg" and attributes.endswith("/") and not _UNQUOTED.search(attributes):
+            continue
         if name not in VOID:
-            stack.append((name, _ancestor(name, page[named.end() : found.end() - 1])))
+            stack.append((name, _ancestor(name, attributes)))
             silent += name in NO_TEXT
             in_link = 0
     close()
@@ -312,12 +336,16 @@ def labelled_pages(texts: Sequence[str], count: int, seed: int = 9) -> list[tupl
 
 
 def fit_extractor(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, count: int = LABELLED_PAGES, text: str = "html") -> Chain:
-    """A field trained on labelled pages made of texts of at most ``sample_pages`` of the given pages, chosen by a hash."""
+    """A field trained on labelled pages made of texts of ``sample_pages`` of the given pages.
+
+    They are those with the smallest hashes among pages of at most ``SAMPLE_CHARS`` characters, whatever
+    the order or partitions of ``pages``.
+    """
     total = pages.count()
     share = min(1.0, 2 * sample_pages / max(total, 1))
-    rows = pages.select(F.col(text).alias("html")).filter("html IS NOT NULL").withColumn("h", F.xxhash64("html")).filter(
-        F.pmod("h", F.lit(1 << 40)) < share * (1 << 40)).select("h", F.substring("html", 1, 50_000).alias("html"))
-    sample = sorted({(r.h, r.html) for r in rows.limit(2 * sample_pages).collect()})[:sample_pages]
+    rows = pages.select(F.col(text).alias("html")).filter(F.length("html") <= SAMPLE_CHARS).withColumn("h", F.xxhash64("html"))
+    few = rows.filter(F.pmod("h", F.lit(1 << 40)) < share * (1 << 40)).distinct().orderBy("h", "html").limit(sample_pages)
+    sample = [(r.h, r.html) for r in few.collect()]
     texts = [t for _, page in sample for t, _, _ in blocks(page) if len(t) > 40] or ["some plain words to fill a page with, and a few more."]
     features, label, sizes = [], [], []
     for page, labels in labelled_pages(texts, count):
@@ -356,8 +384,9 @@ def extract_text(pages: DataFrame, chain: Chain, page_id: str = "page_id", url:
     """One row per row of ``pages``: page_id, url, text, n_chars (code points).
 
     Blocks of main text in page order, joined by two line feeds; a null or empty page, or one without
-    main text, gives an empty text. Broken markup is read as far as it goes. Ids and urls, null or
-    repeated, are passed on. Extra columns are ignored.
+    main text, gives an empty text. Broken markup is read as ``blocks`` says. A very long page is read whole,
+    by one task. Ids and urls, null or repeated, are passed on. An empty table gives no rows. Extra columns
+    are ignored.
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(text).alias("html"))

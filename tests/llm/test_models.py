@@ -138,6 +138,27 @@ def test_blocks_of_odd_markup():
     assert len(op9.blocks("<div>" * 20000 + "x")) == 1 and len(op9.blocks("<a \"" * 20000)) == 0
 
 
+def texts_of(page):
+    return [t for t, _, _ in op9.blocks(page)]
+
+
+def test_empty_comments_and_open_drawings():
+    for comment in ("<!-->", "<!--->", "<!---->", "<!-- x --!>", "<!-- a > b -->", "<!-- <p>no</p> -- > -->"):
+        assert texts_of(f"<article><p>one</p>{comment}<p>two</p></article>") == ["one", "two"], comment
+    whole = "<article><p>one</p>{}<p>two</p><p>three</p></article><p>after</p>"
+    for drawing in ("<svg class=i />", "<svg/>", "<svg class='a'/>", "<svg><path d='M0'/><text>no</text></svg>", "<svg>no", "<svg><g><text>no", "<svg class=i/>no</svg>"):
+        assert texts_of(whole.format(drawing)) == ["one", "two", "three", "after"], drawing
+    assert texts_of("<div>a<svg><foreignObject><p>no</p></foreignObject></svg>b</div>") == ["a", "b"]
+    assert texts_of("<p>a <svg><b>bold</b> c</p>") in (["a", "bold c"], ["a bold c"])
+
+
+def test_sample_of_pages_does_not_depend_on_partitions(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    pages = pages.unionByName(pages).unionByName(pages.limit(1).withColumn("html", F.expr("repeat(html, 1000)")))
+    fields = [op9.fit_extractor(p, sample_pages=7, count=40) for p in (pages, pages.orderBy(F.rand(3)).repartition(9))]
+    assert (fields[0].moves == fields[1].moves).all() and (fields[0].weights == fields[1].weights).all()
+
+
 def test_labelled_pages_keep_their_labels():
     for page, labels in op9.labelled_pages(["words to fill a page with, and some more of them to cut"], 150):
         assert len(op9.blocks(page)) == len(labels)
