@@ -253,11 +253,22 @@ _INNER = """FROM (SELECT inferenceId, response, unnest(range(len(r))) AS record,
 _FEATURE_COLUMNS = ", ".join(rnd(f"r[record + 1][{i + 1}]", f"feature{i:010d}") for i in range(2))
 
 
-@query("capture_features", f"""WITH {CAPTURED}
-SELECT inferenceId, CAST(record AS INTEGER) AS record, {_FEATURE_COLUMNS}, response AS prediction0 {_INNER}""")
+@query("capture_features", f"""WITH {CAPTURED}, kept AS (SELECT event_id, inferenceId, response,
+  CASE event_id % 50 WHEN 0 THEN request || ']' WHEN 1 THEN NULL WHEN 2 THEN '[[1.5,2.5,3.5,4.5]]' ELSE request END AS request
+  FROM requests WHERE inferenceId IS NOT NULL),
+lists AS (SELECT inferenceId, response, unnest(range(len(r))) AS record, r FROM (SELECT inferenceId, response, CAST(request AS JSON)::DOUBLE[][] AS r
+  FROM kept WHERE event_id % 50 > 1))
+SELECT inferenceId, CAST(record AS INTEGER) AS record, {_FEATURE_COLUMNS}, response AS prediction0,
+  array_to_string(r[record + 1][3:], ',') AS more, CAST(NULL AS VARCHAR) AS problem FROM lists
+UNION ALL SELECT inferenceId, NULL, NULL, NULL, response, '', 'not a request' FROM kept WHERE event_id % 50 < 2""")
 def capture_features(spark, sf_dir):
+    """Captured requests, some of them broken, missing or wider than two features."""
     records = capture_records(spark, sf_dir).filter(F.col("eventMetadata.inferenceId").isNotNull())
-    return capture.capture_features(records, 2).filter("problem IS NULL").drop("more", "problem")
+    data, kind = F.col("captureData.endpointInput.data"), F.col("event_id") % 50
+    changed = F.when(kind == 0, F.concat(data, F.lit("]"))).when(kind == 2, F.lit("[[1.5,2.5,3.5,4.5]]")).when(kind != 1, data)
+    side = F.col("captureData").withField("endpointInput", F.col("captureData.endpointInput").withField("data", changed))
+    found = capture.capture_features(records.withColumn("captureData", side), 2)
+    return found.withColumn("more", F.coalesce(F.array_join(F.transform("more", lambda x: x.cast("string")), ","), F.lit("")))
 
 
 @query("udf_preprocessor", f"WITH {CAPTURED} SELECT inferenceId, {_FEATURE_COLUMNS} {_INNER}")

@@ -11,28 +11,47 @@ from pyspark.sql import types as T
 from fleetlens.schemas import HEADERLESS_MATRIX, TIMESTAMP_FORMAT
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: Column of ``csv_rejects`` with the text of a row of another width.
+RECORD = "record"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header; columns are found by name and parsed as declared, without an inference pass.
 
-    NaN is null. A value that can't be parsed is null too; ``csv_rejects`` lists the rows that have one.
+    NaN is null. A value that can't be parsed is null too, as are values that a short row lacks;
+    ``csv_rejects`` lists all such rows. A quote in a quoted value is doubled. ``multi_line`` allows line
+    breaks in quoted values; each file is then read by one task. Without it both parts of such a row are
+    rows of another width and so among the rejects.
     """
-    raw = _raw_csv(spark, path, schema)
+    raw = _raw_csv(spark, path, schema, multi_line)
     return raw.select(*[_parsed(f).alias(f.name) for f in schema.fields])
 
 
-def csv_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of text with a value that can't be parsed, and ``bad_columns``, the names of such columns."""
-    raw = _raw_csv(spark, path, schema)
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Rows as text that lose something in ``read_csv``, with ``bad_columns`` and ``record``.
+
+    ``bad_columns`` names columns with a value that can't be parsed; ``record`` is the whole text of a row
+    that has more or fewer values than the header.
+    """
+    raw = _raw_csv(spark, path, schema, multi_line, with_record=True)
     bad = [F.when(_parsed(f, keep_nan=True).isNull() & F.col(f"`{f.name}`").isNotNull(), F.lit(f.name)) for f in schema.fields]
-    return raw.withColumn("bad_columns", F.array_compact(F.array(*bad))).filter(F.size("bad_columns") > 0)
+    found = raw.withColumn("bad_columns", F.array_compact(F.array(*bad)))
+    return found.filter((F.size("bad_columns") > 0) | F.col(RECORD).isNotNull())
 
 
-def _raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    raw = spark.read.option("header", True).csv(path)
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, with_record: bool = False) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    raw = reader.csv(path)
     missing = set(schema.names) - set(raw.columns)
     if missing:
         raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
-    return raw.select(*[F.col(f"`{n}`") for n in schema.names])
+    names = [F.col(f"`{n}`") for n in schema.names]
+    if not with_record:
+        return raw.select(*names)
+    texts = T.StructType([*raw.schema.fields, T.StructField(RECORD, T.StringType())])
+    # widths are seen only if all columns are parsed
+    whole = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", RECORD).schema(texts).csv(path)
+    return whole.select(*names, RECORD)
 
 
 def _parsed(field: T.StructField, keep_nan: bool = False) -> Column:
@@ -53,7 +72,7 @@ def read_matrix(spark: SparkSession, path: str, schema: T.StructType = HEADERLES
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    writer = df.write.mode("overwrite").option("header", header)
+    writer = df.write.mode("overwrite").option("header", header).option("escape", '"')
     writer.option("timestampFormat", TIMESTAMP_FORMAT).csv(path)
 
 

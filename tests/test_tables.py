@@ -181,7 +181,7 @@ def test_requests_are_whole_and_none_is_lost(spark):
     from pyspark.sql import functions as F
 
     from fleetlens.functions.scalar import csv_request
-    from fleetlens.sources.capture import request_records
+    from fleetlens.sources.capture import with_records
     from fleetlens.streaming.jobs import parse_requests
 
     lines = spark.createDataFrame([(x,) for x in ("[[1,2],[3,null]]", "[4,5]", "6,", ",7", "[[1,2", "1,x", "[[1,2,3]]", "8", "[]", "")], "value string")
@@ -191,7 +191,10 @@ def test_requests_are_whole_and_none_is_lost(spark):
     assert {v for v, _, _, p in got if p} == {"[[1,2", "1,x", "[[1,2,3]]", "8", "[]", ""}
     row = spark.createDataFrame([(1.0, None, 3.0)], "a double, b double, c double")
     assert row.select(csv_request(["a", "b", "c"])).first()[0] == "1.0,,3.0"
-    assert lines.filter("value = '[4,5]'").select(request_records(F.col("value"))).first()[0] == [[4.0, 5.0]]
+    found = {r.value: r.found for r in with_records(lines, F.col("value"), "found").collect()}
+    assert found["[4,5]"] == [[4.0, 5.0]] and found["[]"] == [] and found["[[1,2"] is None and found["[[1,2,3]]"] == [[1.0, 2.0, 3.0]]
+    odd = spark.createDataFrame([(x,) for x in ("[[1]]]", "[[1],[2]", "[1,[2]]", "[[1],2]", "[[[1]]]", None)], "value string")
+    assert {r.found is None for r in with_records(odd, F.col("value"), "found").collect()} == {True}
 
 
 def test_missing_column_is_a_violation(spark):
@@ -204,3 +207,18 @@ def test_missing_column_is_a_violation(spark):
     found = monitor.violations(monitor.baseline_statistics(base, ["x"], bounds), monitor.baseline_statistics(base, ["x", "y"], bounds)).collect()
     assert [(r.feature, r.check) for r in found] == [("y", "missing_column_check")]
     assert drift_violations(base, base, ["x", "y"]).count() == 0
+
+
+def test_csv_rows_of_other_widths_and_line_breaks(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType()), T.StructField("note", T.StringType())])
+    path = str(tmp_path / "x.csv")
+    (tmp_path / "x.csv").write_text('id,v,note\n1,2,x,9\n3\n4,5,"a ""b"", c"\n6,7,"two\nlines"\n8,z,ok\n')
+    rows = files.read_csv(spark, path, schema, multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [(1, 2.0, "x"), (3, None, None), (4, 5.0, 'a "b", c'), (6, 7.0, "two\nlines"), (8, None, "ok")]
+    rejects = files.csv_rejects(spark, path, schema, multi_line=True).collect()
+    assert [(r.id, r.bad_columns, r.record) for r in rejects] == [("1", [], "1,2,x,9"), ("3", [], "3"), ("8", ["v"], None)]
+    broken = {r.id for r in files.csv_rejects(spark, path, schema).collect()}
+    assert {"1", "3", 'lines"', "8"} <= broken  # without multi_line the second half of the row shows it
+    files.write_csv(files.read_csv(spark, path, schema, multi_line=True), str(tmp_path / "again"))
+    again = files.read_csv(spark, str(tmp_path / "again"), schema, multi_line=True)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, rows), key=str)
