@@ -233,9 +233,9 @@ def fit_tables(
     words = counts.filter("kind = 1").select(F.col("key").alias("word"), "n")
     level, stacked, strings = counts.filter("kind = 0").select("key", "n"), None, [None] * (order + 1)
     for k in range(order, -1, -1):
-        if k < order:
-            level = level.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        strings[k] = level = keep(level, f"strings-{k}")
+        if k < order:  # the longest are read from the counts
+            level = keep(level.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n")), f"strings-{k}")
+        strings[k] = level
         named = level.select(F.lit(k).alias("k"), "key", "n")
         stacked = named if stacked is None else stacked.unionByName(named)
     least = smallest_kept(stacked, max_strings)
