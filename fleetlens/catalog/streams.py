@@ -11,7 +11,7 @@ from fleetlens.catalog.sql import SENSOR, compose, rnd, rnds
 from fleetlens.plans import monitor
 from fleetlens.schemas import TELEMETRY
 from fleetlens.session import new_path
-from fleetlens.streaming import state
+from fleetlens.streaming import pairs, state
 
 BATCHES = 4
 
@@ -60,6 +60,43 @@ def stream_late_hours(spark, sf_dir):
     return hours.join(names, ["hour", "feature"], "full").na.fill(0, ["present", "missing", "late"])
 
 
+_PAIRS_SQL = """WITH asked AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN 'inf-' || CAST(event_id AS VARCHAR) END AS id, ts,
+  CAST(value AS VARCHAR) AS request FROM events WHERE event_id % 11 <> 3),
+answered AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN 'inf-' || CAST(event_id AS VARCHAR) END AS id,
+  ts + INTERVAL 1 SECOND * (event_id % 90) AS ts, event_type AS response FROM events WHERE event_id % 7 <> 2),
+joined AS (SELECT coalesce(a.id, b.id) AS inferenceId, request, response, b.ts - a.ts AS gap, CASE WHEN b.event_id IS NULL THEN 'request'
+  WHEN a.event_id IS NULL THEN 'response' ELSE 'matched' END AS status FROM asked a FULL JOIN answered b ON a.id = b.id AND b.ts <= a.ts + INTERVAL 1 MINUTE)
+SELECT inferenceId, response, CAST(epoch(gap) AS BIGINT) AS seconds, status FROM joined"""
+
+
+@query("stream_pairs", _PAIRS_SQL)
+def stream_pairs(spark, sf_dir):
+    """Requests and responses of events, some missing, some more than a minute apart; a last row far ahead ends all waiting."""
+    events = adapters.read_table(spark, sf_dir, "events")
+    us = F.unix_micros("ts")
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    name = F.when(F.col("event_type") != "signup", F.concat(F.lit("inf-"), F.col("event_id").cast("string"))).alias("inferenceId")
+    batch = F.least(F.lit(BATCHES - 1), F.expr(f"(unix_micros(ts) - {low}) * {BATCHES} div {high - low + 1}"))
+    later = F.col("ts") + F.expr("make_dt_interval(0, 0, 0, event_id % 90)")
+    sides = {
+        "requests": events.filter("event_id % 11 <> 3").select(name, "ts", F.col("value").cast("string").alias("data"), batch.alias("_b")),
+        "responses": events.filter("event_id % 7 <> 2").select(name, later.alias("ts"), F.col("event_type").alias("data"), batch.alias("_b")),
+    }
+    streams = []
+    for side, rows in sides.items():
+        path, stream = incoming(rows, F.col("_b"), side)
+        ahead = spark.range(1).select(
+            F.lit("ahead").alias("inferenceId"), F.timestamp_micros(F.lit(high + 10 * 86_400_000_000)).alias("ts"),
+            F.lit("").alias("data"), F.lit(0).cast(rows.schema["_b"].dataType).alias("_b"))
+        ahead.write.mode("append").parquet(path)
+        streams.append(stream.select("inferenceId", "ts", "data"))
+    out = new_path(spark, "pairs")
+    pairs.pair_stream(*streams, out, new_path(spark, "pairs-checkpoint"), wait="1 minute").awaitTermination()
+    found = pairs.read_pairs(spark, out).withColumn("status", F.lit("matched")).unionByName(pairs.read_pairs(spark, out, matched=False))
+    gap = (F.unix_micros("responseTime") - F.unix_micros("requestTime")) / 1e6
+    return found.filter("inferenceId IS NULL OR inferenceId <> 'ahead'").select("inferenceId", "response", gap.cast("long").alias("seconds"), "status")
+
+
 @query("stream_telemetry_features", compose(f"SELECT machineID, datetime, {rnds(SENSOR)} FROM tele_keyed", "tele_keyed"))
 def stream_telemetry_features(spark, sf_dir):
     """Readings in four batches, every seventh a batch late, and a last reading far ahead that closes all bins."""

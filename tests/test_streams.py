@@ -9,7 +9,7 @@ import pytest
 from fleetlens.config import FeatureSpec
 from fleetlens.plans import features, monitor
 from fleetlens.schemas import MEASURES, TELEMETRY, TELEMETRY_FEATURES
-from fleetlens.streaming import state
+from fleetlens.streaming import pairs, state
 
 START = datetime(2024, 1, 1)
 EVENTS = "ts timestamp, value double, k double"
@@ -105,3 +105,23 @@ def test_store_of_other_queries_is_left_alone(spark, tmp_path):
     row = state.read_hours(spark, str(tmp_path / "out")).first()
     assert (row.present, row.low, row.sd) == (1, 1.0, None)
     assert state.read_late(spark, str(tmp_path / "out")).count() == 0
+
+
+def test_pairs_and_the_rest_are_all_rows(spark, tmp_path):
+    schema = "inferenceId string, ts timestamp, data string"
+    at = lambda minutes: START + timedelta(minutes=minutes)
+    requests = [[("a", at(0), "ra"), ("b", at(1), "rb"), (None, at(2), "rn"), ("late", at(5), "rl")], [("c", at(200), "rc"), ("d", at(300), "rd")]]
+    responses = [[("a", at(20), "sa"), ("x", at(3), "sx"), (None, at(9), "sn"), ("late", at(100), "sl")], [("c", at(201), "sc"), ("c", at(202), "sc2")]]
+    far = [("end", START + timedelta(days=9), "")]
+    sources = [str(tmp_path / n) for n in ("requests", "responses")]
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    for part in (0, 1, 2):  # a run per batch; the last row ends all waiting
+        for rows, path in ((requests, sources[0]), (responses, sources[1])):
+            put(spark, rows[part] if part < 2 else far, schema, path)
+        streams = [stream(spark, schema, path) for path in sources]
+        pairs.pair_stream(*streams, out, check, wait="30 minutes").awaitTermination()
+    matched = Counter((r.inferenceId, r.request, r.response) for r in pairs.read_pairs(spark, out).collect())
+    assert matched == Counter({("a", "ra", "sa"): 1, ("c", "rc", "sc"): 1, ("c", "rc", "sc2"): 1, ("end", "", ""): 1})
+    rest = Counter((r.inferenceId, r.status, r.request or r.response) for r in pairs.read_pairs(spark, out, matched=False).collect())
+    assert rest == Counter([("b", "request", "rb"), (None, "request", "rn"), ("late", "request", "rl"), ("d", "request", "rd"),
+                            ("x", "response", "sx"), (None, "response", "sn"), ("late", "response", "sl")])
