@@ -17,12 +17,19 @@ BATCHES = 4
 
 
 def incoming(df: DataFrame, batch: Column, name: str, batches: int = BATCHES) -> tuple[str, DataFrame]:
-    """Write ``df`` as one file per batch, oldest first, and read it as a stream of a batch per file."""
+    """Write ``df`` as files, oldest batch first, and read it as a stream of a batch at a time.
+
+    Every task writes its rows of a batch. A trigger takes a number of files, so batches of fewer files get empty ones.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     marked = df.withColumn("_batch", batch)
+    files = marked.rdd.getNumPartitions()
     for i in range(batches):
-        marked.filter(F.col("_batch") == i).drop("_batch").coalesce(1).write.mode("append").parquet(path)
-    return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        marked.filter(F.col("_batch") == i).drop("_batch").write.mode("append").parquet(path)
+        written = len(spark.read.schema(df.schema).parquet(path).inputFiles())
+        for _ in range(files * (i + 1) - written):
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
+    return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 # a quarter of the time each; every tenth event comes one batch late, every 17th two

@@ -24,6 +24,10 @@ from fleetlens.schemas import MEASURES, TELEMETRY_FEATURES
 HOUR_MS = 3_600_000
 #: An hour's rows are dealt to so many keys, since one hour may hold a third of all rows.
 SHARDS = 4
+#: Machines are dealt to so many keys, since a call for a key costs milliseconds however little it holds.
+MACHINE_SHARDS = 1024
+#: Stands for the time of a reading without one.
+NO_TIME = -(1 << 60)
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -159,11 +163,11 @@ def late_stream(events: DataFrame, columns: Sequence[str], bounds: Bounds, path:
 
 
 class TrailingBins(StatefulProcessor):
-    """Open slots and the last closed bins of a machine.
+    """Open slots and the last closed bins of the machines of a shard, all worked on at once.
 
-    ``open`` holds per time of a reading the sums and counts of each measure. When the watermark has passed
-    a bin's end, its slots become mean, sd and first value, the first values join the ring of the last
-    ``window_rows`` bins, and the bin's row comes out if its whole window is there.
+    The open table holds per machine and time of a reading the sums and counts of each measure. When the
+    watermark has passed a bin's end, its slots become mean, sd and first value, the first values join the
+    machine's ring of the last ``window_rows`` bins, and the bin's row comes out if its whole window is there.
     """
 
     def __init__(self, spec: FeatureSpec):
@@ -171,80 +175,98 @@ class TrailingBins(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        numbers = "array<struct<at: long, values: array<double>, counts: array<double>>>"
-        self.state = handle.getValueState("bins", f"open {numbers}, ring {numbers}, due long")
+        self.state = handle.getValueState(
+            "bins", "open binary, open_values binary, ring binary, ring_values binary, due long")
 
-    def load(self) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray], int]:
-        if (found := self.state.get()) is None:
-            return {}, {}, 0
-        slots = {s[0]: np.array([s[1], s[2]], np.float64) for s in found[0]}
-        return slots, {s[0]: np.array(s[1], np.float64) for s in found[1]}, found[2]
+    def load(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """(machine, slot) and (sums, counts) of open slots, (machine, bin) and values of the ring, both in order, and the timer."""
+        found = self.state.get() or (b"", b"", b"", b"", 0)
+        kinds = ((np.int64, 2), (np.float64, 2 * self.size), (np.int64, 2), (np.float64, self.size))
+        return *[np.frombuffer(bytes(x), kind).reshape(-1, n) for x, (kind, n) in zip(found, kinds)], found[4]
 
-    def save(self, slots, ring, due: int) -> None:
+    def save(self, slots: np.ndarray, sums: np.ndarray, ring: np.ndarray, values: np.ndarray, due: int) -> None:
         """``due`` is the time (ms) of the one timer that waits for the first open bin; 0 without one."""
         width = self.seconds * 1_000_000
-        if slots:
-            first = (min(slots) // width + 1) * (width // 1000)
+        if len(slots):
+            first = (int(slots[:, 1].min()) // width + 1) * (width // 1000)
             if not due or first < due:
                 self.handle.registerTimer(due := first)
-        self.state.update((
-            [(at, x[0].tolist(), x[1].tolist()) for at, x in slots.items()],
-            [(at, x.tolist(), []) for at, x in ring.items()], due))
+        self.state.update((*[x.tobytes() for x in (slots, sums, ring, values)], due))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        slots, ring, due = self.load()
+        slots, sums, ring, values, due = self.load()
         width = self.seconds * 1_000_000
-        batch = pd.concat(list(rows), ignore_index=True)
-        at = batch["slot_us"].fillna(-(1 << 60)).to_numpy(np.int64)
-        late = (at // width + 1) * (width // 1000) <= timerValues.getCurrentWatermarkInMs()
-        if late.any():
-            yield self.out(batch[late].assign(late=True, machineID=key[0]))
-        sums = batch[[f"sum_{m}" for m in MEASURES]].to_numpy(np.float64)
-        counts = batch[[f"n_{m}" for m in MEASURES]].to_numpy(np.float64)
-        for k in np.flatnonzero(~late).tolist():
-            slots[int(at[k])] = slots.get(int(at[k]), 0) + np.array([sums[k], counts[k]])
-        if slots or ring:
-            self.save(slots, ring, due)
+        parts, columns = [], [f"{s}_{m}" for s in ("sum", "n") for m in MEASURES]
+        for batch in rows:
+            at = batch["slot_us"].to_numpy(np.int64)
+            late = (at // width + 1) * (width // 1000) <= timerValues.getCurrentWatermarkInMs()
+            if late.any():
+                found = batch[late].assign(late=True)
+                found["slot_us"] = found["slot_us"].astype("Int64").mask(found["slot_us"] == NO_TIME)
+                yield self.out(found, key)
+            if not late.all():
+                parts.append(batch[~late].groupby(["machineID", "slot_us"])[columns].sum())
+        if parts:
+            parts.append(pd.DataFrame(sums, columns=columns, index=pd.MultiIndex.from_arrays(slots.T, names=["machineID", "slot_us"])))
+            summed = pd.concat(parts).groupby(level=[0, 1]).sum()  # in order of machine and slot
+            slots = np.column_stack([summed.index.get_level_values(i).to_numpy(np.int64) for i in (0, 1)])
+            sums = summed[columns].to_numpy(np.float64)
+            self.save(slots, np.ascontiguousarray(sums), ring, values, due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Close all bins that the watermark has passed."""
-        slots, ring, _ = self.load()
+        slots, sums, ring, values, _ = self.load()
         width = self.seconds * 1_000_000
-        last = timerValues.getCurrentWatermarkInMs() // (width // 1000) - 1
-        out = []
-        for number in sorted({at // width for at in slots if at // width <= last}):
-            mine = sorted(at for at in slots if at // width == number)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                means = np.array([slots[at][0] / slots[at][1] for at in mine])
-            for at in mine:
-                del slots[at]
-            there = ~np.isnan(means)
-            first = np.array([means[there[:, j], j][0] if there[:, j].any() else np.nan for j in range(self.size)])
-            ring = {b: x for b, x in ring.items() if b > number - self.rows} | {number: first}
-            window = np.array(list(ring.values()))
-            full = (~np.isnan(window)).sum(0) == self.rows
-            row = [*self.mean(means), *self.sd(means), *np.where(full, self.mean(window), np.nan), *np.where(full, self.sd(window), np.nan)]
-            if not np.isnan(row).any():
-                out.append([key[0], (number + 1) * width, *row])
-        self.save(slots, ring, 0)
-        if out:
+        closed = slots[:, 1] // width <= timerValues.getCurrentWatermarkInMs() // (width // 1000) - 1
+        mine, of = np.column_stack([slots[closed, 0], slots[closed, 1] // width]), sums[closed]
+        slots, sums = slots[~closed], sums[~closed]
+        if not len(mine):
+            self.save(slots, sums, ring, values, 0)
+            return
+        with np.errstate(invalid="ignore", divide="ignore"):
+            means = of[:, : self.size] / of[:, self.size :]
+        starts = np.flatnonzero(np.r_[True, (mine[1:] != mine[:-1]).any(1)])
+        bins, there = mine[starts], ~np.isnan(means)
+        n = np.add.reduceat(there, starts, 0, dtype=np.int64)
+        mean = np.where(n > 0, np.add.reduceat(np.where(there, means, 0), starts, 0) / np.maximum(n, 1), np.nan)
+        number = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(mine)]))
+        squares = np.add.reduceat(np.where(there, means - mean[number], 0) ** 2, starts, 0)
+        sd = np.where(n > 1, np.sqrt(squares / np.maximum(n - 1, 1)), np.nan)
+        place = np.minimum.reduceat(np.where(there, np.arange(len(mine))[:, None], len(mine) - 1), starts, 0)
+        first = means[place, np.arange(self.size)]  # NaN without a reading
+        first[n == 0] = np.nan
+
+        every, values = np.concatenate([ring, bins]), np.concatenate([values, first])
+        order = np.lexsort((every[:, 1], every[:, 0]))
+        every, values = every[order], values[order]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        at = at[len(ring) :]  # of each closed bin
+        start = at - self.rows + 1
+        from_ = np.maximum(start, 0)
+        full = (start >= 0) & (every[from_, 0] == bins[:, 0]) & (every[from_, 1] == bins[:, 1] - self.rows + 1)
+        window = values[start[full, None] + np.arange(self.rows)]
+        rolled = window.mean(1)
+        spread = np.sqrt(((window - rolled[:, None]) ** 2).sum(1) / (self.rows - 1)) if self.rows > 1 else np.full_like(rolled, np.nan)
+        out = np.column_stack([mean[full], sd[full], rolled, spread])
+        whole = ~np.isnan(out).any(1)
+
+        last = np.r_[every[1:, 0] != every[:-1, 0], True]
+        newest = every[last, 1][np.cumsum(last) - last]  # of the machine
+        kept = every[:, 1] > newest - self.rows
+        self.save(slots, sums, every[kept], values[kept], 0)
+        if whole.any():
             names = [c for c in TELEMETRY_FEATURES if c not in ("machineID", "datetime")]
-            yield self.out(pd.DataFrame(out, columns=["machineID", "slot_us", *names]).assign(late=False))
+            rows = pd.DataFrame(out[whole], columns=names)
+            found = bins[full][whole]
+            yield self.out(rows.assign(late=False, machineID=found[:, 0], slot_us=(found[:, 1] + 1) * width), key)
 
     def close(self) -> None:
         pass
 
-    @staticmethod
-    def mean(x: np.ndarray) -> np.ndarray:
-        n = (~np.isnan(x)).sum(0)
-        return np.where(n > 0, np.nansum(x, 0) / np.maximum(n, 1), np.nan)
-
-    @classmethod
-    def sd(cls, x: np.ndarray) -> np.ndarray:
-        n = (~np.isnan(x)).sum(0)
-        return np.where(n > 1, np.sqrt(np.nansum((x - cls.mean(x)) ** 2, 0) / np.maximum(n - 1, 1)), np.nan)
-
-    def out(self, rows: pd.DataFrame) -> pd.DataFrame:
+    def out(self, rows: pd.DataFrame, key) -> pd.DataFrame:
+        if key[0] == -1:  # readings without a machine; Spark mixes up keys of a batch that has a null one
+            rows = rows.assign(machineID=pd.Series([None] * len(rows), index=rows.index, dtype=object))
         names = [c for c in TELEMETRY_FEATURES if c not in ("machineID", "datetime")]
         return _with_columns(rows, ["late", "machineID", "slot_us", *names, *[f"{s}_{m}" for m in MEASURES for s in ("sum", "n")]])
 
@@ -258,23 +280,27 @@ def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([sums, counts], axis=1).reset_index()
 
 
-def trailing_features(telemetry: DataFrame, spec: FeatureSpec, delay: str = "0 seconds") -> DataFrame:
+def trailing_features(telemetry: DataFrame, spec: FeatureSpec, delay: str = "0 seconds", shards: int = MACHINE_SHARDS) -> DataFrame:
     """A stream of ``plans.features.telemetry_features`` in keyed mode, each row as its bin closes, and of late readings.
 
     A bin closes when the watermark, ``delay`` behind the newest reading of the batches before, passes its
     end; it takes a later batch to close the newest bins. Readings of a closed bin, or without a time, are
     late. State per machine: the open slots and ``window_rows`` bins; a machine that sends nothing more keeps
-    its last ring.
+    its last ring. The machines of a shard share a state, which is read and written in one piece: raise
+    ``shards`` with many millions of machines.
     """
     numbers = [F.col(m).cast("double").alias(m) for m in MEASURES]
     timed = telemetry.withWatermark("datetime", delay).select(
         F.col("machineID").cast("long").alias("machineID"), F.unix_micros("datetime").alias("slot_us"), *numbers)
     sums = ", ".join(f"sum_{m} double" for m in MEASURES) + ", " + ", ".join(f"n_{m} long" for m in MEASURES)
     combined = timed.mapInPandas(_combine, f"machineID long, slot_us long, {sums}")
+    machine = F.col("machineID")
+    keyed = combined.withColumn("_shard", F.when(machine.isNull(), -1).otherwise(F.pmod(F.xxhash64(machine), F.lit(shards)))).withColumns(
+        {"machineID": F.coalesce(machine, F.lit(0).cast("long")), "slot_us": F.coalesce("slot_us", F.lit(NO_TIME).cast("long"))})
     names = [c for c in TELEMETRY_FEATURES if c not in ("machineID", "datetime")]
     schema = "late boolean, machineID long, slot_us long, " + ", ".join(f"`{c}` double" for c in names) + ", " + ", ".join(
         f"sum_{m} double, n_{m} double" for m in MEASURES)
-    return combined.groupBy("machineID").transformWithStateInPandas(TrailingBins(spec), schema, "update", "eventTime")
+    return keyed.groupBy("_shard").transformWithStateInPandas(TrailingBins(spec), schema, "update", "eventTime")
 
 
 def features_stream(telemetry: DataFrame, spec: FeatureSpec, path: str, checkpoint: str, delay: str = "0 seconds", trigger={"availableNow": True}) -> StreamingQuery:
