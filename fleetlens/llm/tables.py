@@ -25,13 +25,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+def keep(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder, with the writer's ``options``, and go on from there.
 
     What the writing job shuffled isn't needed any more. Spark deletes such files when the driver's
     garbage is collected; asking for that here keeps the disk use of a chain of steps near that of one.
     """
-    kept = materialize(df, name)
+    kept = materialize(df, name, **options)
     del df
     gc.collect()
     kept.sparkSession.sparkContext._jvm.System.gc()

@@ -82,11 +82,11 @@ def batches_by_rows(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and go on from the written table.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once as Parquet, with the writer's ``options``, in the shared folder and go on from the written table.
 
     Later readers prune columns from it, and a lost executor costs a re-read, not the whole lineage.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
