@@ -6,9 +6,13 @@ that was seen. If the context has not seen the byte, an escape is coded and the
 asked, without the symbols that the longer one has already excluded. The escape gets what ``DISCOUNT``
 per seen symbol leaves. Below the empty context every byte not excluded is as likely.
 
-Strings go to the executors as a trie of the most frequent, at most ``MAX_STRINGS``. It is exact for the
-longest strings it holds. If it doesn't hold all, the distinct other strings of the scored texts are
-resolved by joins with the whole tables of strings and contexts, so no string is cut from the model.
+Counts go to Spark's shuffle as arrays of keys by class of context, so that all strings of a context meet
+and are added up with its total in one go.
+
+If there are at most ``MAX_STRINGS`` strings, they go to the executors as a trie. Otherwise the most frequent
+of the longest go there, with their chances. All others of the scored texts are joined with the whole table of the
+longest strings, and those it lacks are resolved by joins with the tables of shorter strings and contexts, so no
+string is cut from the model.
 
 Scoring works on the distinct strings of a batch, all at once, and adds up per text.
 
@@ -26,18 +30,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.tables import bounded_batches, documents, keep, read
-from fleetlens.llm.words import Words, pieces, signed, split_words
+from fleetlens.llm.tables import bounded_batches, documents, keep, read, whole_groups
+from fleetlens.llm.words import WHITE_SPACE, Words, mix, pieces, signed, split_words
 
 ORDER, DISCOUNT, MAX_STRINGS, TOP_WORDS = 6, 0.5, 1_500_000, 500_000
 PIECE = 1 << 20
 #: A counter is emptied when it holds more than so many different keys.
 HELD = 2_000_000
+#: Counted keys are sent in so many classes (2 ** 12), each of which is added up in one task.
+CLASS_BITS = 12
 BLANK, END = 0x20, 0x00
 #: Numbers of strings are bytes of text, of which zstd leaves two thirds of what snappy does, in the same time.
 PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 
 
+_IS_LETTER = np.ones(256, bool)
+_IS_LETTER[list(WHITE_SPACE)] = False
+
+
 def coded_bytes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Words of each text joined by one blank, with one end byte, and the bounds of the texts."""
     size = words.ends - words.starts
@@ -47,13 +57,12 @@ def coded_bytes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     length = np.maximum(before[words.bounds[1:]] - before[words.bounds[:-1]], 1)
     bounds = np.concatenate([[0], np.cumsum(length)])
     out = np.full(bounds[-1], BLANK, np.uint8)
+    is_letter = np.ones(len(out), bool)
+    empty_before = np.concatenate([[0], np.cumsum(counts == 0)])[words.owner]
+    is_letter[before[1:] - 1 + empty_before] = False
+    is_letter[bounds[1:] - 1] = False
+    out[is_letter] = words.data[_IS_LETTER[words.data]]
     out[bounds[1:] - 1] = END
-    if len(size):
-        first = before[:-1]  # of each word, among words alone
-        empty_before = np.concatenate([[0], np.cumsum(counts == 0)])[words.owner]
-        shift = np.repeat(first + empty_before - words.starts, size)
-        source = np.repeat(words.starts - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        out[source + shift] = words.data[source]
     return out, bounds
 
 
@@ -62,11 +71,10 @@ def strings_at(coded: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
     value = coded.astype(np.uint64)
     for j in (1, 2, 4):  # numbers of 2, 4, 8 bytes
         value[j:] |= value[:-j] << np.uint64(8 * j)
+    value &= np.uint64((1 << 64) - 1) >> np.uint64(64 - 8 * (order + 1))
     length = np.diff(bounds)
-    keep_bytes = np.full(len(coded), order + 1)
     for at in range(min(order, int(length.max(initial=0)))):
-        keep_bytes[bounds[:-1][length > at] + at] = at + 1
-    value &= np.uint64((1 << 64) - 1) >> (np.uint64(64) - np.uint64(8) * keep_bytes.astype(np.uint64))
+        value[bounds[:-1][length > at] + at] &= np.uint64((1 << 8 * (at + 1)) - 1)
     return value
 
 
@@ -92,18 +100,52 @@ def distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rising[first], place
 
 
+def distinct_by_text(strings: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different strings of each text as (string, text, times); those of one string follow each other.
+
+    A string and its text are sorted as one number, as many texts at a time as the bits beside a string allow.
+    """
+    texts, bits = len(bounds) - 1, 64 - 8 * (order + 1)
+    text = np.repeat(np.arange(texts, dtype=np.uint64), np.diff(bounds))
+    if not bits:
+        unique, place = distinct(strings)
+        pairs, times = np.unique(place * texts + text.astype(np.int64), return_counts=True)
+        return unique[pairs // max(texts, 1)], pairs % max(texts, 1), times
+    found, step = [], 1 << bits
+    for a in range(0, texts, step):
+        mine = slice(bounds[a], bounds[min(a + step, texts)])
+        both = (strings[mine] << np.uint64(bits)) | (text[mine] - np.uint64(a))
+        both.sort()
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+        both, times = both[first], np.diff(np.append(first, len(both)))
+        found.append((both >> np.uint64(bits), (both & np.uint64(step - 1)).astype(np.int64) + a, times))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
 class Counter64:
     """Counts of 64-bit keys, combined in memory up to a bound."""
 
     def __init__(self):
+        self.waiting: list[np.ndarray] = []  # keys not counted yet
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
     def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
+        self.waiting.append(keys)
+        if sum(map(len, self.waiting)) > HELD:
+            self.count()
+            # half as many more than a counter may hold: it is not merged again for each few keys
+            if self.held > HELD + HELD // 2:
+                self.combine()
+
+    @property
+    def full(self) -> bool:
+        return len(self.parts) == 1 and self.held > HELD
+
+    def count(self) -> None:
+        self.parts.append(np.unique(np.concatenate(self.waiting), return_counts=True))
+        self.waiting = []
         self.held += len(self.parts[-1][0])
-        if self.held > HELD:
-            self.combine()
 
     def combine(self) -> None:
         keys, counts = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
@@ -114,6 +156,8 @@ class Counter64:
         self.held = len(first)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.waiting:
+            self.count()
         if not self.parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.combine()
@@ -122,17 +166,25 @@ class Counter64:
 
 
 def counted_rows(order: int):
-    """Rows (kind, key, n): strings of bytes as kind 0, words as kind 1; each task sends a key rarely more than once."""
+    """Rows (kind, class, keys, n): strings of bytes as kind 0, words as kind 1, as arrays; each task sends a key rarely more than once.
+
+    A class is made by a hash of the key without its last byte, so all strings of a context are in one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = (Counter64(), Counter64())
 
         def rows(kind: int) -> Iterator[pa.RecordBatch]:
             keys, n = counters[kind].take()
-            for a in range(0, len(keys), 100_000):
-                part = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys[part]), kind, np.int32)), pa.array(signed(keys[part])), pa.array(n[part])], names=["kind", "key", "n"])
+            if not len(keys):
+                return
+            of_key = (mix(keys >> np.uint64(8)) >> np.uint64(64 - CLASS_BITS)).astype(np.uint16)
+            dealt, sizes = np.argsort(of_key, kind="stable"), np.bincount(of_key)
+            filled = np.flatnonzero(sizes)
+            ends = pa.py_buffer(np.concatenate([[0], 8 * np.cumsum(sizes[filled])]).astype(np.int32))
+            arrays = [pa.Array.from_buffers(pa.binary(), len(filled), [None, ends, pa.py_buffer(x.take(dealt))]) for x in (keys, n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(filled), kind, np.int32)), pa.array(filled.astype(np.int32)), *arrays], names=["kind", "class", "keys", "n"])
 
         for batch in batches:
             for _, data, offsets in pieces(batch, size=PIECE):
@@ -140,7 +192,7 @@ def counted_rows(order: int):
                 counters[0].add(strings_at(*coded_bytes(words), order))
                 counters[1].add(words.hashes)
                 for kind, counter in enumerate(counters):
-                    if counter.held > HELD:
+                    if counter.full:
                         yield from rows(kind)
         for kind in (0, 1):
             yield from rows(kind)
@@ -148,6 +200,32 @@ def counted_rows(order: int):
     return run
 
 
+def merged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (kind, key, n, total, symbols) from rows of ``counted_rows`` in order of kind and class.
+
+    ``total`` is that of the key's context, ``symbols`` their number there, on one row of each context and 0 on others.
+    """
+    for table in whole_groups(batches, ("kind", "class")):
+        kinds = table.column("kind").to_numpy()
+        for kind in np.unique(kinds):
+            mine = table.filter(pa.array(kinds == kind))
+            keys, n = (np.frombuffer(b"".join(mine.column(c).to_pylist()), t) for c, t in (("keys", np.uint64), ("n", np.int64)))
+            rising = np.argsort(keys)
+            keys = keys.take(rising)
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            keys, n = keys[first], np.add.reduceat(n.take(rising), first)
+            context = keys >> np.uint64(8)
+            begin = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            size, symbols = np.diff(np.append(begin, len(keys))), np.zeros(len(keys), np.int64)
+            symbols[begin] = size
+            total = np.repeat(np.add.reduceat(n, begin), size)
+            for a in range(0, len(keys), 100_000):
+                part = slice(a, a + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys[part]), kind, np.int32)), *[pa.array(x[part]) for x in (signed(keys), n, total, symbols)]],
+                    names=["kind", "key", "n", "total", "symbols"])
+
+
 @dataclass
 class Level:
     """Contexts of one length, and their strings one byte longer, all in rising order."""
@@ -171,19 +249,21 @@ class PpmModel:
     train_tokens: int
     vocabulary: int
     ends: int  # training texts: the count of the end token
-    whole: bool = True  # whether no string was left out of the levels
+    frequent: np.ndarray | None = None  # the most frequent of the longest strings, in rising order, if the levels lack some
+    chances: np.ndarray | None = None  # log10 of their last bytes' chances
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.train_tokens + self.vocabulary + 1))
 
-    def holds(self, strings: np.ndarray) -> np.ndarray:
-        """Whether ``log_chance`` of each string is that of the model without cuts."""
-        if self.whole:
-            return np.ones(len(strings), bool)
-        own = self.levels[self.order].strings
-        if not len(own):
-            return np.zeros(len(strings), bool)
-        return own[np.minimum(np.searchsorted(own, strings), len(own) - 1)] == strings
+    def held_chance(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``log_chance`` by the model without cuts of the strings that can be found here, 0 for others, and which are found."""
+        if self.frequent is None:
+            return self.log_chance(strings), np.ones(len(strings), bool)
+        if not len(self.frequent):
+            return np.zeros(len(strings)), np.zeros(len(strings), bool)
+        at = np.minimum(np.searchsorted(self.frequent, strings), len(self.frequent) - 1)
+        held = self.frequent[at] == strings
+        return np.where(held, self.chances[at], 0.0), held
 
     def log_chance(self, strings: np.ndarray) -> np.ndarray:
         """log10 of the chance of the last byte of each string, given the bytes before it."""
@@ -245,30 +325,52 @@ def build_levels(order: int, strings: list[np.ndarray], counts: list[np.ndarray]
 
 
 def fit_ppm(training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRINGS, top_words: int = TOP_WORDS, text: str = "text") -> tuple[PpmModel, DataFrame]:
-    """The model as it is sent to executors, and the table (word, n) of all training words, which grows with the corpus."""
-    return fit_tables(training, order, max_strings, top_words, text)[:2]
+    """A model of the ``max_strings`` most frequent strings, and the table (word, n) of all training words, which grows with the corpus."""
+    return fit_tables(training, order, max_strings, top_words, text, cut=True)[:2]
 
 
 def fit_tables(
-    training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRINGS, top_words: int = TOP_WORDS, text: str = "text"
+    training: DataFrame, order: int = ORDER, max_strings: int = MAX_STRINGS, top_words: int = TOP_WORDS, text: str = "text", cut: bool = False
 ) -> tuple[PpmModel, DataFrame, list[DataFrame], DataFrame]:
-    """As ``fit_ppm``, and the whole tables (key, n) of strings by order and (k, context, total, symbols) of contexts."""
+    """The model as it is sent to executors, and the whole tables (word, n), (key, n) of strings by order and (k, context, total, symbols).
+
+    The longest strings have the total of their context, too. With ``cut`` the model has levels of the most frequent strings
+    where it can't hold all, instead of the most frequent of the longest strings.
+    """
     bounded_batches(training.sparkSession)
     texts = training.select(F.col(text).alias("text"))
-    counts = keep(texts.mapInArrow(counted_rows(order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts", **PACKED)
+    sent = texts.mapInArrow(counted_rows(order), "kind int, class int, keys binary, n binary")
+    merged = sent.repartition("kind", "class").sortWithinPartitions("kind", "class").mapInArrow(
+        merged_rows, "kind int, key long, n long, total long, symbols long")
+    counts = keep(merged, "counts", **PACKED)
     words = counts.filter("kind = 1").select(F.col("key").alias("word"), "n")
-    level, stacked, strings = counts.filter("kind = 0").select("key", "n"), None, [None] * (order + 1)
-    for k in range(order, -1, -1):
-        if k < order:  # the longest are read from the counts
-            level = keep(level.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n")), f"strings-{k}", **PACKED)
+    longest = counts.filter("kind = 0").select("key", "n", "total", "symbols")
+    level, shorter, strings = longest, None, [None] * order + [longest]
+    for k in range(order - 1, -1, -1):
+        level = keep(level.groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n")), f"strings-{k}", **PACKED)
         strings[k] = level
         named = level.select(F.lit(k).alias("k"), "key", "n")
-        stacked = named if stacked is None else stacked.unionByName(named)
-    least = smallest_kept(stacked, max_strings)
-    whole = keep(stacked.groupBy("k", F.shiftrightunsigned("key", 8).alias("context")).agg(
-        F.sum("n").alias("total"), F.count("*").alias("symbols"), F.max("n").alias("most")), "contexts", **PACKED)
-    kept = stacked.filter(F.col("n") >= least).select("k", "key", "n").toArrow()  # bounded by max_strings
-    tops = whole.filter(F.col("most") >= least).select("k", F.col("context").alias("key"), F.col("total").alias("n")).toArrow()
+        shorter = named if shorter is None else shorter.unionByName(named)
+    context = F.shiftrightunsigned("key", 8).alias("context")
+    contexts = longest.filter("symbols > 0").select(F.lit(order).alias("k"), context, "total", "symbols")
+    stacked = longest.select(F.lit(order).alias("k"), "key", "n")
+    if shorter is not None:
+        contexts = contexts.unionByName(keep(shorter.groupBy("k", context).agg(F.sum("n").alias("total"), F.count("*").alias("symbols")), "contexts", **PACKED))
+        stacked = stacked.unionByName(shorter)
+    whole = stacked.count() <= max_strings
+    frequent = chances = None
+    if not whole and not cut:
+        stacked = stacked.limit(0)
+        top = longest.filter(F.col("n") >= smallest_kept(longest, max_strings)).select(
+            "key", (F.log10(F.col("n") - DISCOUNT) - F.log10("total")).alias("chance")).toArrow()  # bounded by max_strings
+        frequent = top.column("key").to_numpy().view(np.uint64)
+        rising = np.argsort(frequent)
+        frequent, chances = frequent[rising], top.column("chance").to_numpy()[rising]
+        del top
+    elif not whole:
+        stacked = stacked.filter(F.col("n") >= smallest_kept(stacked, max_strings))
+    kept = stacked.toArrow()  # bounded by max_strings
+    tops = contexts.join(stacked.select("k", context).distinct(), ["k", "context"]).select("k", F.col("context").alias("key"), F.col("total").alias("n")).toArrow()
 
     def by_level(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
         k, key, n = (table.column(c).to_numpy() for c in ("k", "key", "n"))
@@ -281,6 +383,7 @@ def fit_tables(
         return keys, numbers
 
     levels, floor = build_levels(order, *by_level(kept), *by_level(tops))
+    del kept, tops
     least_word = smallest_kept(words, top_words)
     top = words.filter(F.col("n") >= least_word).toArrow()  # bounded by top_words
     word = top.column("word").to_numpy().view(np.uint64)
@@ -289,13 +392,12 @@ def fit_tables(
     ends = texts.count()
     # the end is a token of the vocabulary if there is a text to end
     model = PpmModel(
-        order, levels, floor, word[rising], top.column("n").to_numpy()[rising], totals.n + ends, totals.v + (ends > 0), ends,
-        whole=stacked.filter(F.col("n") < least).isEmpty())
-    return model, words, strings, whole
+        order, levels, floor, word[rising], top.column("n").to_numpy()[rising], totals.n + ends, totals.v + (ends > 0), ends, frequent, chances)
+    return model, words, strings, contexts
 
 
 def joined_chances(asked: DataFrame, strings: list[DataFrame], contexts: DataFrame) -> DataFrame:
-    """(key, chance) of distinct strings ``asked``: log10 of the chance of the last byte, from the whole tables.
+    """(key, chance) of distinct strings ``asked`` that are none of the longest strings: log10 of the chance of the last byte.
 
     From the longest order down, strings that are found leave and the others take the escape of their
     context. Tables of fewer than 1 << 17 possible rows are sent to the tasks.
@@ -315,7 +417,8 @@ def joined_chances(asked: DataFrame, strings: list[DataFrame], contexts: DataFra
         return F.broadcast(mine) if k < 2 else mine
 
     for k in range(len(strings) - 1, -1, -1):
-        rows = rows.withColumn("own", lowest("key", k + 1)).join(string_table(k, "n"), "own", "left")
+        rows = rows.withColumn("own", lowest("key", k + 1))
+        rows = rows.join(string_table(k, "n"), "own", "left") if k < len(strings) - 1 else rows.withColumn("n", F.lit(None).cast("long"))
         rows = rows.withColumn("context", F.shiftrightunsigned("own", 8)).join(of_order(k), "context", "left")
         has = F.log10(F.col("n") - DISCOUNT) - F.coalesce("log_n", F.log10("total"))
         leave = F.coalesce("escape", F.log10(DISCOUNT * F.col("symbols") / F.col("total")), F.lit(0.0))
@@ -361,16 +464,17 @@ def scored_rows(model: PpmModel):
             for part, data, offsets in pieces(batch, size=PIECE):
                 words = split_words(data, offsets, lower=True)
                 coded, bounds = coded_bytes(words)
-                unique, place = distinct(strings_at(coded, bounds, model.order))
-                held = model.holds(unique)
-                chance = np.zeros(len(unique))
-                chance[held] = model.log_chance(unique[held])
-                score = np.add.reduceat(chance[place], bounds[:-1])
-                at_byte = np.flatnonzero(~held[place])
-                text = np.searchsorted(bounds, at_byte, "right") - 1
+                keys, text, times = distinct_by_text(strings_at(coded, bounds, model.order), bounds, model.order)
+                new = np.concatenate([[True], keys[1:] != keys[:-1]])
+                place = np.cumsum(new) - 1
+                chance, held = model.held_chance(keys[new])
+                texts = len(bounds) - 1
+                score = np.bincount(text, chance[place] * times, texts)
                 # a string that a text asks for many times is sent once
-                asked, times = np.unique(text * len(unique) + place[at_byte], return_counts=True)
-                ask_at = pa.array(np.searchsorted(asked, np.arange(len(bounds)) * len(unique)).astype(np.int32))
+                asked = np.flatnonzero(~held[place])
+                owner = text[asked]
+                asked = asked[np.argsort(owner.astype(np.uint16) if texts < 1 << 16 else owner, kind="stable")]
+                ask_at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=texts))]).astype(np.int32))
                 counts = np.zeros(len(words.hashes), np.int64)
                 if len(model.words):
                     at = np.minimum(np.searchsorted(model.words, words.hashes), len(model.words) - 1)
@@ -385,8 +489,8 @@ def scored_rows(model: PpmModel):
                     [part.column("doc_id"), pa.array(words.counts + 1), pa.array(totals[words.bounds[1:]] - totals[words.bounds[:-1]] + ends_known),
                      pa.array(sums[words.bounds[1:]] - sums[words.bounds[:-1]] + float(model.base(np.array(model.ends)))), pa.array(score),
                      pa.ListArray.from_arrays(pa.array(places), pa.array(signed(rare))),
-                     pa.ListArray.from_arrays(ask_at, pa.array(signed(unique[asked % max(len(unique), 1)]))),
-                     pa.ListArray.from_arrays(ask_at, pa.array(times.astype(np.int32)))],
+                     pa.ListArray.from_arrays(ask_at, pa.array(signed(keys[asked]))),
+                     pa.ListArray.from_arrays(ask_at, pa.array(times[asked].astype(np.int32)))],
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score", "rare", "asked", "times"])
 
     return run
@@ -417,10 +521,18 @@ def lm_scores(docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text
         F.sum(F.col("times") * F.log10((n + 1) / F.lit(whole))).alias("rest"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("found"))
     joined = scored.drop("rare", "asked", "times").join(rest, "_row", "left")
     score = F.col("score")
-    if not model.whole:
+    if model.frequent is not None:
         asked = scored.select("_row", F.explode(F.arrays_zip("asked", "times")).alias("a")).select("_row", F.col("a.asked").alias("key"), F.col("a.times").alias("times"))
-        chances = joined_chances(scored.select(F.explode("asked").alias("key")).distinct(), strings, contexts)
-        sums = asked.join(chances, "key").groupBy("_row").agg(F.sum(F.col("times") * F.col("chance")).alias("more"))
+        more = F.col("times") * (F.log10(F.col("n") - DISCOUNT) - F.log10("total"))
+        seen = F.col("n").isNotNull()
+        # a row for all strings of a text that are found, and one for each of the others
+        looked = keep(asked.join(strings[-1].select("key", "n", "total"), "key", "left").select(
+            "_row", F.when(~seen, F.col("key")).alias("key"), seen.alias("seen"), F.when(~seen, F.col("times")).alias("times"), more.alias("more"),
+        ).groupBy("_row", "seen", "key").agg(F.sum("times").alias("times"), F.sum("more").alias("more")), "looked", **PACKED)
+        lacking = looked.filter("NOT seen")
+        chances = joined_chances(lacking.select("key").distinct(), strings, contexts)
+        sums = looked.filter("seen").select("_row", "more").unionByName(
+            lacking.join(chances, "key").select("_row", (F.col("times") * F.col("chance")).alias("more"))).groupBy("_row").agg(F.sum("more").alias("more"))
         joined, score = joined.join(sums, "_row", "left"), score + F.coalesce("more", F.lit(0.0))
     return joined.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),

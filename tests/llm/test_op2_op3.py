@@ -215,3 +215,39 @@ def test_tables_of_strings_are_written_small(spark):
     """Strings written by snappy took more than the disk's budget."""
     strings = op3.fit_tables(spark.createDataFrame([(1, "a b abc " * 9), (2, "cab")], "doc_id long, text string"))[2]
     assert all(".zstd." in f for table in strings for f in table.inputFiles())
+
+
+def test_the_room_for_strings_is_that_of_the_longest(spark):
+    """Shorter strings took most of the room, though a string found among the longest needs none of them."""
+    texts = ["the cat sat on the mat", "the cat ate", "The dog  sat\ton the log", None, "été à la mer"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    model, _, strings, contexts = op3.fit_tables(df, order=5, max_strings=70)
+    whole, brute = op3.fit_tables(df, order=5)[0], Brute(texts, 5)
+    wanted = {int.from_bytes(c + bytes([s]), "big"): (n, sum(seen.values())) for c, seen in brute.count[5].items() for s, n in seen.items()}
+    assert {r.key: (r.n, r.total) for r in strings[-1].collect()} == wanted
+    assert {r.context: (r.total, r.symbols) for r in contexts.filter("k = 5").collect()} == {
+        int.from_bytes(c, "big"): (sum(seen.values()), len(seen)) for c, seen in brute.count[5].items()}
+    assert 0 < len(model.frequent) <= 70 and len(model.frequent) > len(wanted) // 2
+    chance, held = model.held_chance(model.frequent)
+    assert held.all() and np.allclose(chance, whole.log_chance(model.frequent), rtol=1e-12)
+
+
+@pytest.mark.parametrize("order", [0, 6, 7])
+def test_distinct_strings_of_each_text(order):
+    rng = np.random.default_rng(order)
+    bounds = np.concatenate([[0], np.cumsum(rng.integers(1, 30, 700))])
+    strings = rng.integers(0, 9, bounds[-1], np.uint64) << np.uint64(8 * order)
+    keys, text, times = op3.distinct_by_text(strings, bounds, order)
+    wanted = Counter(zip(strings.tolist(), np.repeat(np.arange(700), np.diff(bounds)).tolist()))
+    assert dict(zip(zip(keys.tolist(), text.tolist()), times.tolist())) == wanted and len(keys) == len(wanted)
+
+
+def test_counters_are_not_merged_for_each_few_keys(monkeypatch):
+    monkeypatch.setattr(op3, "HELD", 1000)
+    merged, combine = [], op3.Counter64.combine
+    monkeypatch.setattr(op3.Counter64, "combine", lambda self: (merged.append(1), combine(self)))
+    counter = op3.Counter64()
+    for a in range(200):
+        counter.add(np.arange(50, dtype=np.uint64) + np.uint64(a % 19 * 50))
+    keys, n = counter.take()
+    assert len(keys) == 950 and n.sum() == 10_000 and len(merged) <= 11
