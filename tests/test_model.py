@@ -63,3 +63,25 @@ def test_model_from_elsewhere(spark):
     rows = labeled(spark, 30).select("machineID", "volt" + "mean_3h", "age")
     out = model.apply_model(rows, lambda x: (x["age"] > 50).map({True: "comp1", False: "none"}), ["voltmean_3h", "age"])
     assert {r.predicted_failure for r in out.filter("age > 50").collect()} <= {"comp1"} and out.count() == 30
+
+
+def test_equal_rows_are_kept_once_until_they_are_read(spark):
+    """The forest's table had each row as many times as its machine and time had readings."""
+    import pytest
+
+    from fleetlens.catalog.features import labeled as rows_of
+    from fleetlens.catalog.training import _matrix
+    from fleetlens.operators.joins import repeat_rows
+
+    def counted(df):
+        return {tuple(r) for r in df.groupBy("machineID", "datetime", "failure").agg(F.count("*")).collect()}
+
+    whole, once = (rows_of(spark, "/root/testdata/sf0.001", repeated=r) for r in (True, False))
+    wanted = counted(whole)
+    assert counted(repeat_rows(once, "_times")) == wanted
+    matrix = _matrix(spark, "/root/testdata/sf0.001")
+    assert counted(matrix) == wanted and "_times" not in matrix.columns
+    written = spark.read.parquet(*matrix.inputFiles())
+    assert written.count() == len(wanted) < whole.count()
+    with pytest.raises(ValueError):
+        rows_of(spark, "/root/testdata/sf0.001", backfill_rows=2, repeated=False)
